@@ -116,6 +116,12 @@ def word_count(c: Column) -> Column:
     return F.coalesce(F.regexp_count(c, F.lit(r"\S+")), F.lit(0))
 
 
+def sentences(c: Column) -> Column:
+    """The text cut after sentence ends that are followed by white space; blank pieces dropped."""
+    marked = F.regexp_replace(c, r"([.?!])\s+", "$1\x01")
+    return F.filter(F.split(marked, "\x01"), lambda s: F.trim(s) != "")
+
+
 def sentence_count(c: Column) -> Column:
     """Number of stretches between sentence ends that hold something other than spaces."""
     return F.coalesce(F.regexp_count(c, F.lit(r"[^.!?\s][^.!?]*")), F.lit(0))

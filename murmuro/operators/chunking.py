@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from murmuro import fixed_values as fixed
+from murmuro.functions import text
 from murmuro.runtime import unnest
 
 
@@ -59,8 +60,6 @@ def semantic_chunks(df: DataFrame, percent: int = fixed.BREAK_PERCENTILE, order_
     Distance is one minus the cosine of the two sentences' word sets; a break is a distance
     above the given percentile of the text's own distances.
     """
-    marked = F.regexp_replace("text", r"([.?!])\s+", "$1\x01")
-    sentences = F.filter(F.split(marked, "\x01"), lambda s: F.trim(s) != "")
     bags = F.transform("sentences", lambda s: F.array_distinct(F.regexp_extract_all(F.lower(s), F.lit(r"[\p{L}\p{N}']+"), 0)))
 
     def distance(a, b):
@@ -69,7 +68,7 @@ def semantic_chunks(df: DataFrame, percent: int = fixed.BREAK_PERCENTILE, order_
 
     n = F.greatest(F.size("bags") - 1, F.lit(0))
     steps = (
-        df.select(order_key, sentences.alias("sentences"))
+        df.select(order_key, text.sentences(F.col("text")).alias("sentences"))
         .select(order_key, "sentences", bags.alias("bags"))
         .select(
             order_key,

@@ -518,11 +518,11 @@ def pattern_tags(spark, d):
 
 
 def training_tags(spark, d):
-    """Tagged tokens of all documents, a verb right after a determiner retagged as a noun."""
-    tagged = tagging.tagged_sentences(bind.documents(spark, d))
+    """Tagged tokens of all sentences, a verb right after a determiner retagged as a noun."""
+    tagged = tagging.tagged_sentences(tagging.sentence_rows(bind.documents(spark, d)), "sent_id")
     before = F.concat(F.array(F.lit("")), F.col("tagged.tag"))
     pairs = F.arrays_zip("tagged", before.alias("before"))
-    rows = unnest(tagged, pairs, "x", F.col("doc_id").alias("sent_id"), pos="pos")
+    rows = unnest(tagged, pairs, "x", "sent_id", pos="pos")
     rows = rows.where(F.col("x.tagged").isNotNull())
     tag = F.when((F.col("x.before") == "DT") & F.col("x.tagged.tag").startswith("VB"), "NN").otherwise(F.col("x.tagged.tag"))
     return rows.select("sent_id", "pos", F.col("x.tagged.word").alias("word"), tag.alias("tag"))
