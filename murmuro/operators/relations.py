@@ -31,7 +31,7 @@ def noun_chunks(tagged: DataFrame, key: str = "doc_id") -> DataFrame:
     pieces = F.transform(
         "tagged", lambda x: F.when(x["tag"].startswith("NN"), F.concat(x["word"], F.lit(" "))).otherwise("\n")
     )
-    runs = F.transform(F.split(F.array_join(pieces, ""), "\n"), F.trim)
+    runs = F.transform(F.split(F.array_join(pieces, ""), "\n"), lambda r: F.trim(r))
     return unnest(tagged, F.filter(runs, lambda r: r.contains(" ")), "chunk", key, pos="chunk_no")
 
 

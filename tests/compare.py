@@ -49,8 +49,9 @@ def difference(spark_frame, con, sql: str) -> str | None:
     if left_columns != right_columns:
         return f"columns {left_columns} != {right_columns}"
     if len(left) != len(right):
-        missing = [r for r in right if r not in set(left)][:2]
-        extra = [r for r in left if r not in set(right)][:2]
+        ours, theirs = set(left), set(right)
+        missing = [r for r in right if r not in ours][:2]
+        extra = [r for r in left if r not in theirs][:2]
         return f"rows {len(left)} != {len(right)}; only sql {str(missing)[:400]}; only spark {str(extra)[:400]}"
     if left != right:
         bad = [(a, b) for a, b in zip(left, right) if a != b]
