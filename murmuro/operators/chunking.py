@@ -20,11 +20,16 @@ def recursive_chunks(
     the end of the previous one (starting at a word) come first.
     """
     body = size - overlap
-    whole = rf"[\s\S]{{1,{body}}}\z"
-    cuts = [rf"[\s\S]{{1,{body - 2}}}\n\n", rf"[\s\S]{{1,{body - 1}}}\n", rf"[\s\S]{{1,{body - 1}}} ", rf"[\s\S]{{1,{body}}}"]
-    pieces = F.regexp_extract_all("text", F.lit("|".join([whole, *cuts])), 0)
-    tail = rf"(?:^|\s)(\S[\s\S]{{0,{overlap - 1}}})\z" if overlap > 0 else r"()\z"
-    before = F.concat(F.array(F.lit("")), F.transform(F.col("pieces"), lambda p: F.regexp_extract(p, tail, 1)))
+    cuts = [rf".{{1,{body}}}\z", rf".{{1,{body - 2}}}\n\n", rf".{{1,{body - 1}}}\n", rf".{{1,{body - 1}}} ", rf".{{1,{body}}}"]
+    pieces = F.regexp_extract_all("text", F.lit("(?s)" + "|".join(cuts)), 0)
+
+    def tail(piece: Column) -> Column:
+        if overlap == 0:
+            return F.lit("")
+        end = F.right(F.concat(F.lit(" "), piece), F.lit(overlap + 1))
+        return F.regexp_extract(end, rf"(?s)\s(\S.{{0,{overlap - 1}}})\z", 1)
+
+    before = F.concat(F.array(F.lit("")), F.transform(F.col("pieces"), tail))
     chunks = F.zip_with(F.slice(before, 1, F.size("pieces")), F.col("pieces"), lambda b, p: F.trim(F.concat(b, p)))
     cut = df.select(order_key, pieces.alias("pieces"))
     return unnest(cut, F.filter(chunks, lambda c: c != ""), "chunk", order_key, pos="chunk_no")
@@ -37,9 +42,9 @@ def token_chunks(
     order_key: str = "doc_id",
 ) -> DataFrame:
     """(order key, chunk_no, chunk): windows of `size` white-space tokens, `overlap` shared by neighbours."""
-    toks = df.select(order_key, F.regexp_extract_all("text", F.lit(r"\S+"), 0).alias("toks")).where(F.size("toks") > 0)
+    toks = df.select(order_key, F.regexp_extract_all("text", F.lit(r"\S+"), 0).alias("toks"))
     last = F.greatest(F.size("toks") - overlap - 1, F.lit(0))
-    starts = F.sequence(F.lit(0), last, F.lit(size - overlap))
+    starts = F.when(F.size("toks") > 0, F.sequence(F.lit(0), last, F.lit(size - overlap)))
     return unnest(toks, starts, "start", order_key, "toks", pos="chunk_no").select(
         order_key, "chunk_no", F.array_join(F.slice("toks", F.col("start") + 1, size), " ").alias("chunk")
     )
@@ -82,12 +87,12 @@ def semantic_chunks(df: DataFrame, percent: int = fixed.BREAK_PERCENTILE, order_
     rest = F.zip_with(F.slice("sentences", 2, F.size("breaks")), F.col("breaks"), lambda s, b: F.struct(s.alias("s"), b.alias("b")))
 
     def join(done, x):
-        longer = F.concat_ws(" ", F.element_at(done, -1), x["s"])
+        longer = F.concat_ws(" ", F.try_element_at(done, F.lit(-1)), x["s"])
         return F.when(x["b"], F.concat(done, F.array(x["s"]))).otherwise(
             F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))
         )
 
-    grouped = steps.where(F.size("sentences") > 0).select(order_key, F.aggregate(rest, first, join).alias("chunks"))
+    grouped = steps.select(order_key, F.aggregate(rest, first, join).alias("chunks"))
     return unnest(grouped, "chunks", "chunk", order_key, pos="chunk_no")
 
 

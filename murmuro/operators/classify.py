@@ -51,7 +51,8 @@ def stratified_split(
 
 def features(df: DataFrame) -> DataFrame:
     """Uni- and bigram terms without stop words, as the pipeline's input column."""
-    return df.withColumn("terms", uni_and_bigrams(tokens.feature_tokens(F.coalesce("text", F.lit("")))))
+    words = df.withColumn("_words", tokens.feature_tokens(F.coalesce("text", F.lit(""))))
+    return words.withColumn("terms", uni_and_bigrams(F.col("_words"))).drop("_words")
 
 
 def build_pipeline(labels: list[str], iterations: int = 1000, regularisation: float = 0.0) -> Pipeline:

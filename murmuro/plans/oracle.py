@@ -251,7 +251,7 @@ kt AS (SELECT doc_id, token AS term FROM tok UNION ALL
   SELECT a.doc_id, a.token || ' ' || b.token FROM tok a JOIN tok b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1),
 ktf AS (SELECT doc_id, term, count(*) AS tf FROM kt GROUP BY ALL),
 kdf AS (SELECT term, count(*) AS df FROM ktf GROUP BY term),
-ks AS (SELECT doc_id, term, round(tf * (ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1), 9) AS score
+ks AS (SELECT doc_id, term, tf * (ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1) AS score
   FROM ktf JOIN kdf USING (term)),
 kl AS (SELECT doc_id, list([term] ORDER BY score DESC, term) AS all_terms FROM ks GROUP BY doc_id),
 kw AS (SELECT doc_id, list_reduce(all_terms, lambda kept, x: CASE WHEN len(kept) >= 8 OR len(list_filter(kept, lambda k:

@@ -15,11 +15,12 @@ def clean_stream(stream: DataFrame, keep: str = "7 days", min_length: int = fixe
 
     The watermark runs on arrival time, so nothing is ever late and no row is lost to it;
     it only bounds how long a text is remembered. A copy arriving after `keep` passes and is
-    caught by the batch de-duplication.
+    caught by the batch de-duplication. The length is tested last so that texts are cleaned once.
     """
-    cleaned = stream.withColumn("text", text.clean_text(F.col("text"))).where(F.length("text") >= min_length)
+    cleaned = stream.withColumn("text", text.clean_text(F.col("text")))
     arrived = cleaned.withColumn("arrived_at", F.current_timestamp())
-    return arrived.withWatermark("arrived_at", keep).dropDuplicatesWithinWatermark(["text"])
+    unique = arrived.withWatermark("arrived_at", keep).dropDuplicatesWithinWatermark(["text"])
+    return unique.where(F.length("text") >= min_length)
 
 
 def ingest(stream: DataFrame, out: str, checkpoint: str, keep: str = "7 days") -> StreamingQuery:
