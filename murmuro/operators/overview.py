@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from murmuro.functions import text
-from murmuro.runtime import lookup_join, n_rows, scalar, top, unnest, written
+from murmuro.runtime import lookup_join, n_rows, top, unnest, written
 
 
 def counts(df: DataFrame, *names: str) -> DataFrame:
@@ -20,10 +20,12 @@ def top_counts(df: DataFrame, name: str, n: int) -> DataFrame:
 
 
 def percentages(df: DataFrame, name: str = "sentiment") -> DataFrame:
-    """Percent of the non-missing rows per value, one decimal, halves to even."""
-    per_value = counts(df, name)
-    total = scalar(per_value.agg(F.sum("count")))
-    return per_value.select(name, F.bround(F.col("count") / total * 100, 1).alias("percent"))
+    """Percent of the non-missing rows per value, one decimal, halves to even.
+
+    The window sees the counted values only, so the table itself is read once.
+    """
+    total = F.sum("count").over(Window.partitionBy(F.lit(0)))
+    return counts(df, name).select(name, F.bround(F.col("count") / total * 100, 1).alias("percent"))
 
 
 def mood(df: DataFrame) -> DataFrame:
@@ -64,14 +66,18 @@ def monthly(df: DataFrame) -> DataFrame:
 
 
 def length_histogram(df: DataFrame, bins: int = 40) -> DataFrame:
-    """Comments per equal-width bin of their word count; empty bins are left out."""
-    lengths = df.select(text.word_count(F.col("text")).cast("double").alias("words"))
-    bounds = lengths.agg(F.min("words").alias("lo"), F.max("words").alias("hi"))
-    lo, hi = scalar(bounds.select("lo")), scalar(bounds.select("hi"))
-    width = F.greatest((hi - lo) / bins, F.lit(1e-9))
-    slot = F.least(F.floor((F.col("words") - lo) / width), F.lit(bins - 1)).cast("int")
-    per_bin = lengths.groupBy(slot.alias("bin")).agg(n_rows())
-    return per_bin.select("bin", (lo + F.col("bin") * width).alias("bin_start"), "count")
+    """Comments per equal-width bin of their word count; empty bins are left out.
+
+    Comments are counted per length first; bounds and bins are then found among the
+    distinct lengths, so the texts are read once.
+    """
+    lengths = df.select(text.word_count(F.col("text")).cast("double").alias("words")).groupBy("words").agg(n_rows("n"))
+    all_lengths = Window.partitionBy(F.lit(0))
+    bounded = lengths.withColumns({"lo": F.min("words").over(all_lengths), "hi": F.max("words").over(all_lengths)})
+    width = F.greatest((F.col("hi") - F.col("lo")) / bins, F.lit(1e-9))
+    slot = F.least(F.floor((F.col("words") - F.col("lo")) / width), F.lit(bins - 1)).cast("int")
+    placed = bounded.select("n", slot.alias("bin"), (F.col("lo") + slot * width).alias("bin_start"))
+    return placed.groupBy("bin", "bin_start").agg(F.sum("n").alias("count"))
 
 
 def readability(df: DataFrame) -> DataFrame:
@@ -150,6 +156,10 @@ def relabel(grouped: DataFrame, labels: DataFrame) -> DataFrame:
     return named.withColumn("keywords", F.coalesce("keywords", F.lit("")))
 
 
+def distinct_count(df: DataFrame, name: str) -> DataFrame:
+    return df.agg(F.count_distinct(name).alias("values"))
+
+
 def distinct_values(df: DataFrame, name: str) -> DataFrame:
     return df.select(name).dropna().distinct().orderBy(name)
 

@@ -310,6 +310,11 @@ def distinct_sentiments(spark, d):
     return overview.distinct_values(rated(spark, d), "sentiment")
 
 
+@query
+def distinct_languages(spark, d):
+    return overview.distinct_count(bind.documents(spark, d), "lang")
+
+
 @query
 def subjective_share(spark, d):
     df = lexicon.with_polarity(bind.documents(spark, d), polarities(spark))

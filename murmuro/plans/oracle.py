@@ -473,6 +473,7 @@ SQL: dict[str, str] = {
         SELECT topic, sentiment, count(*) AS count FROM rated WHERE topic IN (SELECT topic FROM big) GROUP BY ALL
         ORDER BY count DESC, topic, sentiment LIMIT 1""",
     "distinct_sentiments": f"WITH {POLARITY} SELECT DISTINCT sentiment FROM labelled",
+    "distinct_languages": 'SELECT count(DISTINCT lang) AS "values" FROM documents',
     "subjective_share": f"WITH {POLARITY} SELECT round(100.0 * avg((subjectivity > 0.5)::INT), 6) AS subjective_percent FROM labelled",
     "first_comments_joined": """SELECT string_agg(text, chr(10) ORDER BY doc_id) AS text
         FROM (SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT 20)""",

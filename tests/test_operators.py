@@ -23,6 +23,7 @@ from murmuro.operators import (
     tagging,
     topics,
 )
+from murmuro.plans.enrich import enrich
 from murmuro.streaming import ingest
 
 
@@ -439,6 +440,22 @@ def test_topic_insight_without_topics(spark):
     assert report.topic_insight(texts(spark, "a")).first()["line"] == "Topic modeling has not been run yet."
 
 
+def test_enrich_with_spelling(spark):
+    raw = spark.createDataFrame(
+        [(0, "v", "helo <b>New York</b>"), (1, "v", "bad thing"), (2, "v", "bad  thing"), (3, "v", "x")],
+        "doc_id bigint, video_id string, text string",
+    )
+    gaz = runtime.fixed_table(spark, [("new york", "GPE", 0.9)], "phrase string, label string, score double")
+    lex = runtime.fixed_table(spark, [("bad", -2.5)], "word string, valence double")
+    words = runtime.fixed_table(spark, [("hello", 5)], "term string, freq bigint")
+    vectors = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], "doc_id bigint, embedding array<float>")
+    got = enrich(raw, gaz, lex, vectors, dictionary=words, topics=2).orderBy("doc_id").collect()
+    assert [r["text"] for r in got] == ["hello New York", "bad thing"]
+    assert [r["comment_id"] for r in got] == ["c000000", "c000001"]
+    assert got[0]["entity_labels"] == ["New York:GPE"] and got[1]["sentiment"] == "negative"
+    assert [r["topic"] for r in got] == [-1, -1] and "hello" in got[0]["keywords"]
+
+
 def test_stream_equals_batch(spark, tmp_path):
     for i, batch in enumerate([["alpha one", "beta two"], ["alpha one", "x", "gamma   three"]]):
         spark.createDataFrame([(t,) for t in batch], "text string").write.mode("append").parquet(str(tmp_path / "in"))
