@@ -54,7 +54,7 @@ def semantic(queries: DataFrame, index: DataFrame, k: int = fixed.TOP_K, order_k
     Each task multiplies its index rows with the block of queries in numpy and keeps only
     its own best `k` per query, so what is shuffled does not grow with the index rows.
     """
-    rows = index.select(F.col(order_key).cast("bigint").alias("doc_id"), "embedding")
+    rows = index.where(F.col("embedding").isNotNull()).select(F.col(order_key).cast("bigint").alias("doc_id"), "embedding")
     id_type = queries.schema["query_id"].dataType.simpleString()
     schema = f"query_id {id_type}, doc_id bigint, distance double"
     out = None

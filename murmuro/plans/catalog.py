@@ -865,6 +865,12 @@ def routed_query_counts(spark, d):
     return overview.counts(report.routed(turns, sample.ROUTE_CATEGORIES), "category")
 
 
+@query
+def enriched_fields(spark, d):
+    """The enrichment without its cluster numbers, which plain SQL cannot reproduce."""
+    return enriched_comments(spark, d).drop("topic")
+
+
 @query
 def enriched_comments(spark, d):
     df = enrich(bind.comments(spark, d, author=True), gazetteer(spark), valences(spark), index(spark, d))

@@ -629,6 +629,12 @@ SQL: dict[str, str] = {
     "routed_queries": f"""WITH r AS ({routed()}) SELECT *, CASE category WHEN 'sentiment' THEN 'sentiment_agent'
         WHEN 'summary' THEN 'summary_agent' WHEN 'topics' THEN 'topic_agent' ELSE 'qa_agent' END AS specialist FROM r""",
     "routed_query_counts": f"WITH r AS ({routed()}) SELECT category, count(*) AS count FROM r GROUP BY category",
+    "enriched_fields": f"""WITH {UNIQUE_DOCS}, documents AS (SELECT doc_id, text FROM uniq), {RULES}, {ENTITIES}, {KEYWORDS},
+        e AS (SELECT doc_id, string_agg(entity, '|' ORDER BY n) AS entities FROM named GROUP BY doc_id)
+        SELECT 'c' || lpad((row_number() OVER (ORDER BY u.doc_id) - 1)::VARCHAR, 6, '0') AS comment_id, u.doc_id,
+        CASE WHEN sentiment_score >= 0.05 THEN 'positive' WHEN sentiment_score <= -0.05 THEN 'negative' ELSE 'neutral' END AS sentiment,
+        sentiment_score, coalesce(entities, '') AS entities, coalesce(array_to_string(keywords, '|'), '') AS keywords
+        FROM uniq u JOIN rule USING (doc_id) LEFT JOIN e USING (doc_id) LEFT JOIN kw USING (doc_id)""",
     "lemma_frequencies": "",
 }
 SQL["lemma_frequencies"] = (
