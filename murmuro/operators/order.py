@@ -15,7 +15,8 @@ def bucketed(df: DataFrame, key: str) -> DataFrame:
     """Add `_bucket`: evenly filled value ranges of the order key, about one per shuffle partition."""
     n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
     cuts = df.approxQuantile(key, [i / n for i in range(1, n)], 1 / (4 * n))
-    splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
+    # An empty table has no quantiles, and one cut at least is asked for.
+    splits = [-float("inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
     cut = Bucketizer(splits=splits, inputCol="_key", outputCol="_bucket")
     return cut.transform(df.withColumn("_key", F.col(key).cast("double"))).drop("_key")
 
