@@ -25,8 +25,8 @@ FOLDS = 3
 # many features of them in all. Scoring covers every document and its whole text.
 SAMPLE, SAMPLE_FEATURES = 8_000, 12_000_000
 # Chance above which a document is rejected.
-THRESHOLD = 0.5
-STEPS, REGULARISATION = 60, 2e-5
+THRESHOLD = 0.25
+STEPS, REGULARISATION = 60, 1e-5
 # Words whose features a worker remembers.
 REMEMBERED = 300_000
 
