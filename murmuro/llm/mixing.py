@@ -17,7 +17,7 @@ from murmuro.llm.words import free_name, text_or_empty
 from murmuro.runtime import fixed_table, written
 
 # Rows of a pattern that are put in order together.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 # Documents after the cut of a pattern among which the rest of its quota is looked for.
 FILLERS = 200
 # White space as the sizes define it: blank and the five control characters from tab to carriage return.
