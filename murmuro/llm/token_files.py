@@ -24,15 +24,14 @@ from murmuro.runtime import shared_folder
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 1_000
-# Words, and parts of words, whose ids a worker remembers.
-REMEMBERED = 250_000
+# Words, and parts of words, whose ids a worker remembers in each of two generations.
+REMEMBERED = 200_000
 
 _LETTER, _NUMBER = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾"
 # How the vocabulary's own rule cuts a word of Latin-1 characters before merging; each part is encoded by itself.
-_PARTS = re.compile(
-    rf"'(?:[sStTmMdD]|[rR][eE]|[vV][eE]|[lL][lL])|[{_LETTER}]+|[{_NUMBER}]|[^\s{_LETTER}{_NUMBER}]+"
-)
-_LATIN_1 = re.compile(r"[\x21-\x7e\xa1-\xff]+")
+_PARTS = re.compile(rf"'(?:[stmd]|re|ve|ll)|[{_LETTER}]+|[{_NUMBER}]|[^\s{_LETTER}{_NUMBER}]+")
+_AFTER_WORD = re.compile(r"(?<=[a-z\xdf-\xf6\xf8-\xff])([.,;:!?])(?=[ \n])")
+_LATIN_1 = re.compile(r"[\x21-\x7e\xa1-\xff]*")
 
 SCHEMA = "doc_id bigint, start_in_file bigint, n_tokens bigint, ids array<int>"
 
@@ -41,8 +40,9 @@ class WordEncoder:
     """Encodes texts with a tokenizer file, remembering words.
 
     The vocabulary drops white space and never merges across it, so a text's ids are its words' ids in
-    a row. Each distinct word goes through the library once per worker, cut further by the
-    vocabulary's own rule when it is plain Latin-1; any other word is given to the library whole.
+    a row. A word of Latin-1 characters is cut further by the vocabulary's own rule and each part goes
+    through the library once; any other word is given to the library whole. What is remembered has two
+    generations: when the newer is full it becomes the older, and words in use move on.
     """
 
     def __init__(self, path: str) -> None:
@@ -51,46 +51,74 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.older_parts: dict[str, bytes] = {}
 
     def _raw(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.words) + len(words) > REMEMBERED:
-            self.words.clear()
-        cut = {}
+    def _cut(self, word: str) -> list[str] | None:
+        """The parts of a word in lower case, or None when only the library can tell."""
+        if word.isalpha():
+            return [word.lower()] if word.isascii() or max(word) <= "ÿ" else None
+        if word.isascii() and word.isprintable() or _LATIN_1.fullmatch(word):
+            if word[:-1].isalpha() and word[-1] in ".,;:!?":
+                return [word[:-1].lower(), word[-1]]
+            if not any(s in word for s in self.special):
+                return _PARTS.findall(word.lower())
+        return None
+
+    def _learn(self, words: set[str]) -> None:
+        if len(self.words) > REMEMBERED:
+            self.older_words, self.words = self.words, {}
+        if len(self.parts) > REMEMBERED:
+            self.older_parts, self.parts = self.parts, {}
+        cut, new = {}, {}
         for word in words:
-            if _LATIN_1.fullmatch(word) and not any(s in word for s in self.special):
-                cut[word] = _PARTS.findall(word)
-            else:
+            if word in self.words:
+                continue
+            if (ids := self.older_words.get(word)) is not None:
+                self.words[word] = ids
+                continue
+            parts = self._cut(word)
+            if parts is None:
                 self.words[word] = self._raw(word)
-        new = list({p for parts in cut.values() for p in parts if p not in self.parts})
-        if len(self.parts) + len(new) > REMEMBERED:
-            self.parts.clear()
-            new = list({p for parts in cut.values() for p in parts})
+                continue
+            cut[word] = parts
+            for part in parts:
+                if part not in self.parts:
+                    if (ids := self.older_parts.get(part)) is not None:
+                        self.parts[part] = ids
+                    else:
+                        new[part] = None
+        new = list(new)
         for at in range(0, len(new), 1_000):
             some = new[at : at + 1_000]
             encoded = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids, of = np.asarray(encoded.ids, "<u4"), np.asarray(encoded.word_ids)
-            ends = np.searchsorted(of, np.arange(1, len(some) + 1))
+            ids, of = np.asarray(encoded.ids, "<u4").tobytes(), np.asarray(encoded.word_ids)
+            ends = (4 * np.searchsorted(of, np.arange(1, len(some) + 1))).tolist()
             for part, a, b in zip(some, [0, *ends[:-1]], ends, strict=True):
-                self.parts[part] = ids[a:b].tobytes()
+                self.parts[part] = ids[a:b]
         for word, parts in cut.items():
-            self.words[word] = b"".join([self.parts[p] for p in parts])
-
-    def encode(self, text: str) -> bytes:
-        """The ids of a text, as little-endian unsigned 32-bit integers."""
-        out = []
-        for piece in pieces(text):
-            words = piece.replace("\n", " ").split(" ")
-            try:
-                out.append(b"".join(map(self.words.__getitem__, words)))
-            except KeyError:
-                self._learn([w for w in dict.fromkeys(words) if w not in self.words])
-                known = self.words
-                out.append(b"".join([known[w] if w in known else self._raw(w) for w in words]))
-        return b"".join(out)
+            self.words[word] = self.parts[parts[0]] if len(parts) == 1 else b"".join([self.parts[p] for p in parts])
+
+    def _words(self, text: str) -> list[str]:
+        """What stands between blanks and line breaks; plain text in lower case, with the point or comma after a word apart."""
+        try:
+            text.encode("latin-1")
+            if not any(s in text for s in self.special):
+                text = _AFTER_WORD.sub(r" \1", text.lower())
+        except UnicodeEncodeError:
+            pass  # left to the library word by word
+        return text.replace("\n", " ").split(" ")
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as little-endian unsigned 32-bit integers."""
+        cut = [[self._words(p) for p in pieces(t)] for t in texts]
+        self._learn(set().union(*(words for parts in cut for words in parts)))
+        known = self.words.__getitem__
+        return [b"".join([b"".join(map(known, words)) for words in parts]) for parts in cut]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -119,9 +147,9 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int | Non
         start = 0
         for batch in batches:
             # A batch can hold many long texts, so it goes out in slices.
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                ids = [encoder.encode(t) + end for t in part.column("text").to_pylist()]
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                ids = [x + end for x in encoder.encode(part.column("text").to_pylist())]
                 sizes = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
                 ends = np.cumsum(sizes)
                 values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
