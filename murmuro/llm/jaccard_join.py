@@ -100,7 +100,7 @@ def in_blocks(df: DataFrame, group: str, member: str, block: int) -> DataFrame:
     sizes = written(df.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "sizes")
     own = F.pmod(F.xxhash64(member), F.ceil(F.col("_n") / block)).cast("int")
     other = F.explode(F.sequence(F.lit(0), (F.ceil(F.col("_n") / block) - 1).cast("int")))
-    rows = df.join(sizes, group).withColumn("own", own).withColumn("other", other)
+    rows = df.join(sizes.hint("merge"), group).withColumn("own", own).withColumn("other", other)
     return rows.withColumn("a", F.least("own", "other")).withColumn("b", F.greatest("own", "other")).drop("_n", "other")
 
 
@@ -296,7 +296,8 @@ class JaccardJoin:
         self.groups = components(edges)
 
     def _texts(self) -> DataFrame:
-        return self.groups.join(self.rows.select(F.col("row").alias("id"), "text"), "id")
+        # The same plan at every size: both sides meet by id.
+        return self.groups.join(self.rows.select(F.col("row").alias("id"), "text").hint("merge"), "id")
 
     def pairs(self) -> DataFrame:
         """(class_a, class_b, jaccard) between classes; grows with the links themselves."""
