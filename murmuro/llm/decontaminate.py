@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from murmuro.llm.words import mixed, text_or_empty, word_hashes
 from murmuro.runtime import written
 
-# Eight of up to twelve positions count. Between them every window of 13 words with two substitutions is hit.
-MASKS = ("11111111", "110110110011", "101011011101", "110011101011", "111010010111")
+# The first finds copies; the others, whose gaps lie elsewhere, go on where single words were exchanged.
+MASKS = ("11111111", "11011010011", "111001010111")
 # An overlap counts from so many words in a row laid over each other, of which such a share agrees.
 LEAST_WORDS, LEAST_AGREEING = 13, 0.8
 # Items of fewer words say nothing about where they come from and overlap nothing.
@@ -34,10 +34,12 @@ def spaced_hashes(words: np.ndarray, mask: str, number: int) -> np.ndarray:
     if n <= 0:
         return np.empty(0, np.uint64)
     out = np.full(n, number, np.uint64)
+    # Words are hashes already: a sum with a factor for each place, scrambled once, tells them apart.
+    factors = mixed(np.arange(1, len(mask) + 1, dtype=np.uint64)) | np.uint64(1)
     for i, used in enumerate(mask):
         if used == "1":
-            out = mixed(out + words[i : i + n] + np.uint64(0x9E3779B97F4A7C15))
-    return out
+            out += words[i : i + n] * factors[i]
+    return mixed(out)
 
 
 def _whole_hash(words: np.ndarray) -> np.ndarray:
@@ -118,7 +120,9 @@ def document_hits(rows: DataFrame, bits: np.ndarray, short: list[int]) -> DataFr
                     h = spaced_hashes(words, mask, k)
                     at = np.arange(len(h))
                     for probe in range(PROBES):
-                        p = ((h + np.uint64(probe) * (mixed(h) | np.uint64(1))) >> np.uint64(64 - FILTER_BITS)) if len(h) else h
+                        if not len(h):
+                            break
+                        p = (h + np.uint64(probe) * (mixed(h) | np.uint64(1)) if probe else h) >> np.uint64(64 - FILTER_BITS)
                         keep = (known[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
                         h, at = h[keep], at[keep]
                     hits += zip(h.view(np.int64).tolist(), at.tolist(), strict=True)
