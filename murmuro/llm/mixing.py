@@ -135,7 +135,7 @@ def mix(
     `source_size` and `target` are those of the document's first source; `row` names a key to carry along.
 
     Documents are whole: a pattern's documents stand in a seeded order that depends on doc_id and text
-    only, those before the cut get one copy more, and the next ones fill what is left where they fit. A
+    only, those before the cut get one copy more, and of the next ones the largest that fit fill what is left. A
     missing text has size 0, and documents of size 0 take part in whole passes. Repeated rows count each. No rows give
     no rows.
     """
@@ -205,7 +205,7 @@ def mix(
     after = Window.partitionBy("pattern").orderBy("at", "share", *order)
     nexts = placed.where(~fits & (F.col("rest") > 0) & (F.col("size") > 0))
     nexts = nexts.withColumn("nth", F.row_number().over(after)).where(F.col("nth") <= FILLERS)
-    nexts = nexts.groupBy("pattern", "rest").agg(F.array_sort(F.collect_list(F.struct("nth", "size", "row"))).alias("c"))
+    nexts = nexts.groupBy("pattern", "rest").agg(F.array_sort(F.collect_list(F.struct((-F.col("size")).alias("back"), "nth", "size", "row"))).alias("c"))
     fill = F.aggregate(
         "c",
         F.struct((F.col("rest") - F.coalesce("reached", F.lit(0))).alias("left"), F.array().cast("array<bigint>").alias("rows")),
@@ -214,16 +214,21 @@ def mix(
             F.struct((acc["left"] - x["size"]).alias("left"), F.concat(acc["rows"], F.array(x["row"])).alias("rows")),
         ).otherwise(acc),
     )
+    filled = nexts.join(taken, "pattern", "left").select("c", fill.alias("fill"))
+    # One document more where that comes nearer to the quota than leaving the rest open.
+    open_ = F.filter("c", lambda x: ~F.array_contains(F.col("fill.rows"), x["row"]))
+    over = F.array_min(F.transform(open_, lambda x: F.struct((x["size"] - F.col("fill.left")).alias("over"), x["row"].alias("row"))))
+    last = F.when(over["over"] < F.col("fill.left"), F.array(over["row"])).otherwise(F.array().cast("array<bigint>"))
     # At most FILLERS rows per pattern.
-    fillers = nexts.join(taken, "pattern", "left").select(F.explode(fill["rows"]).alias("row"), F.lit(True).alias("extra"))
+    fillers = filled.select(F.explode(F.concat("fill.rows", last)).alias("row"), F.lit(True).alias("extra"))
     out = placed.join(F.broadcast(fillers), "row", "left")
     out = out.withColumn("copies", F.col("whole") + F.when(fits | F.col("extra"), 1).otherwise(0))
     middle = lambda k: k * F.col("capacity") + F.col("at") + F.col("size") / 2
     routed = F.transform(
         F.sequence(F.lit(1), F.col("copies")),
         lambda k: F.coalesce(
-            F.element_at(F.filter("ends", lambda e: e["upto"] > middle(k - 1)), 1)["name"],
-            F.element_at("ends", -1)["name"],
+            F.get(F.filter("ends", lambda e: e["upto"] > middle(k - 1)), F.lit(0))["name"],
+            F.try_element_at("ends", F.lit(-1))["name"],
         ),
     )
     return out.select(

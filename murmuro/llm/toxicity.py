@@ -8,6 +8,7 @@ document (out of fold), so later models learn from probabilities as good as the
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +25,9 @@ FOLDS = 3
 # The models are fitted on so many labelled documents at most, chosen by a hash of their id, and on so
 # many features of them in all. Scoring covers every document and its whole text.
 SAMPLE, SAMPLE_FEATURES = 8_000, 12_000_000
-# Chance above which a document is rejected.
-THRESHOLD = 0.25
-STEPS, REGULARISATION = 60, 1e-5
+# Rejecting chance where the sample has too few documents of the deciding category to choose one.
+THRESHOLD, LEAST_POSITIVE = 0.5, 5
+STEPS, REGULARISATION = 60, 1e-6
 # Words whose features a worker remembers.
 REMEMBERED = 300_000
 
@@ -35,6 +36,13 @@ CATEGORIES = (("low_quality", "quality = 0"), ("toxic", "toxic = 1"), ("toxic_pr
 DECIDES = "toxic"
 
 
+class Chain(NamedTuple):
+    """One weight vector per category, and the chance of the deciding one from which on a text is rejected."""
+
+    weights: list[np.ndarray]
+    threshold: float
+
+
 class _Places(dict):
     """Word to its row in a growing table of feature numbers; short words leave later columns unused."""
 
@@ -98,10 +106,15 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 def fitted(x: Examples, earlier: np.ndarray, y: np.ndarray, width: int) -> np.ndarray:
     """Weights of a logistic regression: `width` features, the earlier categories, the intercept.
 
-    Minimised by limited-memory quasi-Newton steps. A category that never or always occurs keeps an
-    intercept only.
+    Features are scaled by the logarithm of how much more frequent they are inside the category, so a
+    telling word weighs more than a rare one. Minimised by limited-memory quasi-Newton steps. A category that
+    never or always occurs keeps an intercept only.
     """
     n = max(len(y), 1)
+    inside = np.bincount(x.numbers, y[x.owner], width)
+    outside = np.bincount(x.numbers, minlength=width) - inside
+    ratio = np.log((inside + 1) / (y.sum() + 2)) - np.log((outside + 1) / (n - y.sum() + 2))
+    x = Examples(x.numbers, x.values * ratio[x.numbers], x.sizes)
     out = np.zeros(width + earlier.shape[1] + 1)
     share = float(y.mean()) if len(y) else 0.0
     out[-1] = np.log(max(share, 1e-6) / max(1 - share, 1e-6))
@@ -145,11 +158,25 @@ def fitted(x: Examples, earlier: np.ndarray, y: np.ndarray, width: int) -> np.nd
         gain, out, value, slope = value - new_value, new, new_value, new_slope
         if gain < 1e-7:
             break
+    out[:width] *= ratio
     return out
 
 
-def chained(x: Examples, y: np.ndarray, fold: np.ndarray) -> list[np.ndarray]:
-    """Weights of each category's model, later ones trained with out-of-fold probabilities of the earlier.
+def best_threshold(chance: np.ndarray, y: np.ndarray) -> float:
+    """The chance that parts the documents with the best F0.5, which weighs false alarms more, halfway (in odds) to the next one below."""
+    if y.sum() < LEAST_POSITIVE:
+        return THRESHOLD
+    order = np.argsort(-chance, kind="stable")
+    odds = np.log(np.clip(chance[order], 1e-12, 1 - 1e-12) / (1 - np.clip(chance[order], 1e-12, 1 - 1e-12)))
+    hits = np.cumsum(y[order])
+    f = 1.25 * hits / (np.arange(1, len(y) + 1) + 0.25 * y.sum())
+    f[:-1][odds[:-1] == odds[1:]] = 0  # equal chances are not parted
+    k = int(np.argmax(f))
+    return float(sigmoid((odds[k] + odds[min(k + 1, len(y) - 1)]) / 2))
+
+
+def chained(x: Examples, y: np.ndarray, fold: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Weights of each category's model, later ones trained with out-of-fold probabilities of the earlier; these too.
 
     Features of a single document cannot help another one and are left out.
     """
@@ -173,11 +200,11 @@ def chained(x: Examples, y: np.ndarray, fold: np.ndarray) -> list[np.ndarray]:
             part = x.take(held)
             chance[held] = sigmoid(part.product(w[:width]) + earlier[held] @ w[width:-1] + w[-1])
         earlier = np.column_stack([earlier, chance])
-    return out
+    return out, earlier
 
 
-def train(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, sample: int = SAMPLE) -> list[np.ndarray]:
-    """Fit the chain on at most `sample` labelled documents; the models are one weight vector each.
+def train(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, sample: int = SAMPLE) -> Chain:
+    """Fit the chain on at most `sample` labelled documents; its threshold follows from out-of-fold probabilities.
 
     The sample's features are gathered in one task, whose input is bounded by SAMPLE_FEATURES. Labels
     without a document, documents without a label and rows without a doc_id take no part; of several
@@ -220,31 +247,36 @@ def train(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, sample: int
         numbers = np.concatenate([g[1] for g in got]) if got else np.empty(0, np.int32)
         values = np.concatenate([g[2] for g in got]) if got else np.empty(0, np.float32)
         fold = np.asarray([xxhash.xxh32_intdigest(str(i)) % FOLDS for i in order], np.int64)
-        for k, w in enumerate(chained(Examples(numbers, values, sizes), y, fold)):
+        weights, chances = chained(Examples(numbers, values, sizes), y, fold)
+        decides = [n for n, _ in categories].index(DECIDES)
+        threshold = best_threshold(chances[:, decides], y[:, decides]) if got else THRESHOLD
+        for k, w in enumerate(weights):
             at = np.flatnonzero(w)
             at = np.union1d(at, [len(w) - 1])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k]), pa.array([len(w)]), pa.array([at], pa.list_(pa.int64())), pa.array([w[at]], pa.list_(pa.float64()))],
-                ["k", "width", "at", "weight"],
+                [pa.array([k]), pa.array([len(w)]), pa.array([at], pa.list_(pa.int64())), pa.array([w[at]], pa.list_(pa.float64()))]
+                + [pa.array([threshold])],
+                ["k", "width", "at", "weight", "threshold"],
             )
 
-    models = described.coalesce(1).mapInArrow(learn, "k bigint, width bigint, at array<bigint>, weight array<double>")
-    out = []
+    models = described.coalesce(1).mapInArrow(learn, "k bigint, width bigint, at array<bigint>, weight array<double>, threshold double")
+    out, threshold = [], THRESHOLD
     # One row per category, with at most one weight per hashed feature.
     for r in sorted(models.collect(), key=lambda r: r.k):
         w = np.zeros(r.width)
         w[r.at] = r.weight
         out.append(w)
+        threshold = r.threshold
     if not out:
         out = [np.zeros((1 << BITS) + k + 1) for k in range(len(categories))]
         for w in out:
             w[-1] = -35.0
-    return out
+    return Chain(out, threshold)
 
 
-def scored(df: DataFrame, models: list[np.ndarray], text: str, name: str) -> DataFrame:
+def scored(df: DataFrame, chain: Chain, text: str, name: str) -> DataFrame:
     """Adds `name`, the probabilities of all categories in chain order, and takes `text` away."""
-    shared = df.sparkSession.sparkContext.broadcast(models)
+    shared = df.sparkSession.sparkContext.broadcast(chain.weights)
     others = df.drop(text)
     names = others.columns
     schema = others.select("*", F.array().cast("array<double>").alias(name)).schema
@@ -267,22 +299,22 @@ def scored(df: DataFrame, models: list[np.ndarray], text: str, name: str) -> Dat
     return df.mapInArrow(run, schema)
 
 
-def scores(docs: DataFrame, models: list[np.ndarray], categories=CATEGORIES, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, p_<category> ..., toxic) of every document: `toxic` where the deciding category reaches the threshold.
+def scores(docs: DataFrame, chain: Chain, categories=CATEGORIES) -> DataFrame:
+    """(doc_id, p_<category> ..., toxic) of every document: `toxic` where the deciding category reaches the chain's threshold.
 
     A missing text is empty, and an empty one is scored by the models' intercepts alone. Rows without a
     doc_id are scored too, repeated rows each give a row, other columns are left out. No rows give no rows.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
-    out = scored(texts, models, "text", "p")
+    out = scored(texts, chain, "text", "p")
     chances = [F.col("p")[i].alias(f"p_{n}") for i, (n, _) in enumerate(categories)]
-    return out.select("doc_id", *chances).withColumn("toxic", F.col(f"p_{DECIDES}") >= threshold)
+    return out.select("doc_id", *chances).withColumn("toxic", F.col(f"p_{DECIDES}") >= chain.threshold)
 
 
-def accepted(docs: DataFrame, models: list[np.ndarray], categories=CATEGORIES, threshold: float = THRESHOLD) -> DataFrame:
+def accepted(docs: DataFrame, chain: Chain, categories=CATEGORIES) -> DataFrame:
     """The rows of `docs`, all columns, that are not toxic."""
     text = free_name(docs.columns, "text")
     chances = free_name([*docs.columns, text], "chances")
     place = [n for n, _ in categories].index(DECIDES)
-    out = scored(docs.withColumn(text, text_or_empty()), models, text, chances)
-    return out.where(F.col(chances)[place] < threshold).drop(chances)
+    out = scored(docs.withColumn(text, text_or_empty()), chain, text, chances)
+    return out.where(F.col(chances)[place] < chain.threshold).drop(chances)
