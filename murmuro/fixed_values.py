@@ -45,7 +45,6 @@ KEPT_ENTITY_LABELS = ["PERSON", "ORG", "PRODUCT", "GPE", "LOC", "WORK_OF_ART", "
 # Default labels and score threshold of caller-labelled entity extraction.
 DOMAIN_LABELS = ["game feature", "character name", "platform", "release date", "company/studio", "price"]
 DOMAIN_THRESHOLD = 0.4
-DOMAIN_TEXT_LENGTH = 1500
 
 # The eight emotions, in report order.
 EMOTIONS = ["joy", "trust", "anticipation", "surprise", "sadness", "fear", "anger", "disgust"]

@@ -177,4 +177,3 @@ def test_scope_and_optional_columns(spark):
     assert browse.scope(df, 50).count() == 10
     assert browse.browse_view(df, "newest").columns == ["doc_id", "text"]
     assert browse.browse(df, "T3").count() == 1
-    assert browse.capped(df, 5, 2).count() == 2 and browse.capped(df, 5).count() == 10
