@@ -143,7 +143,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     tails = heads.select(follows[F.col("bucket")].alias("bucket"), F.lit(True).alias("tail"), "x.doc_id", "x.text")
     rows = ranged.select("bucket", F.lit(False).alias("tail"), "doc_id", "text").unionByName(tails)
     order = ["bucket", "tail", F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
-    return rows.repartition("bucket").sortWithinPartitions(*order)
+    # Each bucket is a partition of its own.
+    return rows.repartitionById(1 - found[0], -F.col("bucket")).sortWithinPartitions(*order)
 
 
 def fingerprints(docs: DataFrame, least: float = LEAST, most: float = MOST) -> DataFrame:
