@@ -7,7 +7,7 @@ import random
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import IDF, CountVectorizer, IndexToString, Normalizer, StringIndexer
+from pyspark.ml.feature import IDF, CountVectorizer, IndexToString, Normalizer, StringIndexer, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Window
@@ -17,9 +17,8 @@ from murmuro.functions import tokens
 from murmuro.operators.browse import seeded
 from murmuro.operators.evaluate import classification_report
 from murmuro.operators.lexical import uni_and_bigrams
-from murmuro.runtime import lookup_join, n_rows, written
+from murmuro.runtime import lookup_join, n_rows, unnest, written
 
-VOCABULARY = 1 << 16
 # Ranges of the seeded order in which rows of one label are ranked side by side.
 SPLIT_RANGES = 16
 
@@ -55,12 +54,17 @@ def features(df: DataFrame) -> DataFrame:
     return words.withColumn("terms", uni_and_bigrams(F.col("_words"))).drop("_words")
 
 
-def build_pipeline(labels: list[str], iterations: int = 1000, regularisation: float = 0.0) -> Pipeline:
-    """TF-IDF with unit length, then logistic regression; string labels in and out."""
+def build_pipeline(
+    labels: StringIndexerModel, terms: int, iterations: int = 1000, regularisation: float = 0.0
+) -> Pipeline:
+    """TF-IDF over `terms` terms with unit length, then logistic regression; string labels in and out.
+
+    The label numbers come fitted, so a fold without a rare label still numbers all of them alike.
+    """
     return Pipeline(
         stages=[
-            StringIndexer(inputCol="label", outputCol="label_no", stringOrderType="alphabetAsc"),
-            CountVectorizer(inputCol="terms", outputCol="tf", vocabSize=VOCABULARY),
+            labels,
+            CountVectorizer(inputCol="terms", outputCol="tf", vocabSize=terms),
             IDF(inputCol="tf", outputCol="tfidf"),
             Normalizer(inputCol="tfidf", outputCol="unit", p=2.0),
             LogisticRegression(
@@ -70,7 +74,7 @@ def build_pipeline(labels: list[str], iterations: int = 1000, regularisation: fl
                 maxIter=iterations,
                 regParam=regularisation,
             ),
-            IndexToString(inputCol="prediction_no", outputCol="prediction_label", labels=labels),
+            IndexToString(inputCol="prediction_no", outputCol="prediction_label", labels=labels.labels),
         ]
     )
 
@@ -105,9 +109,11 @@ def train(
         "split",
     )
     training, test = split.where("part = 'train'"), split.where("part = 'test'")
-    labels = [r["label"] for r in training.select("label").distinct().orderBy("label").collect()]
+    labels = StringIndexer(inputCol="label", outputCol="label_no", stringOrderType="alphabetAsc").fit(split)
     rows = training.count()
-    pipeline = build_pipeline(labels, iterations, 1.0 / max(rows, 1))
+    # Every term of the training part is a feature.
+    terms = unnest(training, "terms", "term").distinct().count()
+    pipeline = build_pipeline(labels, max(terms, 1), iterations, 1.0 / max(rows, 1))
     if tune:
         search = CrossValidator(
             estimator=pipeline,

@@ -70,9 +70,9 @@ def word_frequencies(df: DataFrame, n: int = 30, lemmas: DataFrame | None = None
     return top(counts, n, F.desc("count"), F.asc("token"))
 
 
-def cloud_weights(df: DataFrame, n: int = 120) -> DataFrame:
+def cloud_weights(df: DataFrame, n: int = 120, lemmas: DataFrame | None = None) -> DataFrame:
     """The `n` most frequent words with their size relative to the first."""
-    best = word_frequencies(df, n)
+    best = word_frequencies(df, n, lemmas)
     return best.withColumn("weight", F.col("count") / F.max("count").over(Window.partitionBy(F.lit(0))))
 
 
@@ -105,22 +105,33 @@ def count_ngrams(arrays: DataFrame, n: int, span: bool = False, order_key: str =
     return grams.groupBy("gram").agg(n_rows())
 
 
-def top_ngrams(df: DataFrame, n: int = 2, limit: int = 20, span: bool = False) -> DataFrame:
+def top_ngrams(
+    df: DataFrame, n: int = 2, limit: int = 20, span: bool = False, lemmas: DataFrame | None = None
+) -> DataFrame:
     arrays = written(token_arrays(df), "tokens") if span else token_arrays(df)
-    return top(count_ngrams(arrays, n, span), limit, F.desc("count"), F.asc("gram"))
+    counts = count_ngrams(arrays, n, span)
+    if lemmas is not None:
+        counts = lemmatised(counts, lemmas, n, "gram")
+    return top(counts, limit, F.desc("count"), F.asc("gram"))
 
 
-def collocations(df: DataFrame, n: int = 2, limit: int = 20, min_count: int = 3, span: bool = False) -> DataFrame:
+def collocations(
+    df: DataFrame, n: int = 2, limit: int = 20, min_count: int = 3, span: bool = False, lemmas: DataFrame | None = None
+) -> DataFrame:
     """The bigrams or trigrams of highest pointwise mutual information, with their counts.
 
-    Word counts are written once: they give the total, the size check and the lookups.
+    Word counts are written once: they give the total, the size check and the lookups. With
+    lemmas, words and n-grams are counted first and their lemmas looked up afterwards.
     """
     if n not in (2, 3):
         raise ValueError("n must be 2 or 3")
     arrays = written(token_arrays(df), "tokens")
-    words = written(count_words(arrays), "words")
+    words, grams = count_words(arrays), count_ngrams(arrays, n, span)
+    if lemmas is not None:
+        words, grams = lemmatised(words, lemmas), lemmatised(grams, lemmas, n, "gram")
+    words = written(words, "words")
     total = scalar(words.agg(F.sum("count")))
-    rows = count_ngrams(arrays, n, span).where(F.col("count") >= min_count)
+    rows = grams.where(F.col("count") >= min_count)
     parts = F.split("gram", " ")
     rows = rows.select("gram", "count", *[parts[i].alias(f"w{i}") for i in range(n)])
     for i in range(n):

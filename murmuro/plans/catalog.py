@@ -30,7 +30,7 @@ from murmuro.operators import (
     topics,
 )
 from murmuro.plans.enrich import enrich
-from murmuro.runtime import fixed_table, n_rows, shared_folder, top, unnest, written
+from murmuro.runtime import fixed_table, n_rows, scalar, shared_folder, top, unnest, written
 from murmuro.sources import bind, files
 from murmuro.streaming import ingest
 
@@ -180,8 +180,8 @@ def stream_ingest(spark, d):
     source = f"{d}/documents.parquet"
     schema = spark.read.parquet(source).schema
     stream = spark.readStream.schema(schema).parquet(f"{d}/documents*.parquet")
-    ingest.ingest(stream.select("text"), f"{folder}/out", f"{folder}/state").awaitTermination()
-    return spark.read.parquet(f"{folder}/out").select("text")
+    ingest.ingest(stream, f"{folder}/out", f"{folder}/state", "doc_id").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("doc_id", "source", "lang", "text")
 
 
 @query
@@ -214,6 +214,37 @@ def browse_longest(spark, d):
     return top(df, 50, *browse.sort_order(df, "longest")).select("doc_id", F.length("text").alias("n_chars"), "likes")
 
 
+@query
+def browse_oldest(spark, d):
+    df = bind.comments(spark, d)
+    return top(df, 50, *browse.sort_order(df, "oldest")).select("doc_id", day().alias("published"))
+
+
+@query
+def browse_export(spark, d):
+    """The browse view, oldest first, written as CSV and read back."""
+    import uuid
+
+    path = f"{shared_folder(spark)}/murmuro/{uuid.uuid4().hex}/view.csv"
+    df = browse.browse(rated(spark, d, author=True), "", ["negative"], 100)
+    files.write_csv(browse.browse_view(df, "oldest").withColumn("published_at", day()), path)
+    stored = "doc_id bigint, author string, sentiment string, likes bigint, published_at string"
+    back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    return back.select([F.col(c.split()[0]).cast(c.split()[1]) for c in stored.split(", ")])
+
+
+@query
+def enriched_round_trip(spark, d):
+    """Rows with list columns through the enriched table, picked up by the loader ahead of a missing CSV."""
+    import uuid
+
+    folder = f"{shared_folder(spark)}/murmuro/{uuid.uuid4().hex}"
+    df = entities.with_entities(bind.comments(spark, d), gazetteer(spark))
+    files.write_enriched(df, f"{folder}/enriched")
+    back = files.load_comments(spark, f"{folder}/enriched", f"{folder}/clean.csv")
+    return back.select("doc_id", "likes", day().alias("published"), F.array_join("entities", "|").alias("entities"))
+
+
 @query
 def browse_newest(spark, d):
     df = bind.comments(spark, d)
@@ -338,8 +369,39 @@ def word_frequencies(spark, d):
 def lemma_frequencies(spark, d):
     docs = bind.documents(spark, d)
     vocabulary = written(lexical.count_words(lexical.token_arrays(docs)), "vocabulary")
-    lemmas = written(lexical.attested_lemmas(vocabulary), "lemmas")
-    return top(lexical.lemmatised(vocabulary, lemmas), 30, F.desc("count"), F.asc("token"))
+    found = written(lexical.attested_lemmas(vocabulary), "lemmas")
+    return top(lexical.lemmatised(vocabulary, found), 30, F.desc("count"), F.asc("token"))
+
+
+def lemmas(spark, d):
+    """(word, lemma) of the words whose shorter form the corpus uses too."""
+    vocabulary = written(lexical.count_words(lexical.token_arrays(bind.documents(spark, d))), "vocabulary")
+    return written(lexical.attested_lemmas(vocabulary), "lemmas")
+
+
+@query
+def lemma_cloud_weights(spark, d):
+    return rounded(lexical.cloud_weights(bind.documents(spark, d), lemmas=lemmas(spark, d)), 6, "weight")
+
+
+@query
+def lemma_bigrams(spark, d):
+    return lexical.top_ngrams(bind.documents(spark, d), 2, lemmas=lemmas(spark, d))
+
+
+@query
+def lemma_trigrams(spark, d):
+    return lexical.top_ngrams(bind.documents(spark, d), 3, lemmas=lemmas(spark, d))
+
+
+@query
+def lemma_bigram_collocations(spark, d):
+    return rounded(lexical.collocations(bind.documents(spark, d), 2, lemmas=lemmas(spark, d)), 6, "pmi")
+
+
+@query
+def lemma_trigram_collocations(spark, d):
+    return rounded(lexical.collocations(bind.documents(spark, d), 3, lemmas=lemmas(spark, d)), 6, "pmi")
 
 
 @query
@@ -604,11 +666,14 @@ def language_distribution(spark, d):
     return language.distribution(language.detect(docs, *language.train_profiles(docs)))
 
 
-def corpus_dictionary(spark, d, min_count=20):
-    """(term, freq): the alphabetic words the corpus uses at least `min_count` times."""
+def corpus_dictionary(spark, d, one_in=20_000):
+    """(term, freq): the words that make at least one in `one_in` alphabetic words of the corpus.
+
+    A share, not a count: in a larger corpus a common misspelling occurs more often, too.
+    """
     words = unnest(bind.documents(spark, d), F.regexp_extract_all("text", F.lit(r"\S+"), 0), "term")
-    counted = words.where(F.col("term").rlike(r"^\p{L}+$")).groupBy("term").agg(n_rows("freq"))
-    return counted.where(F.col("freq") >= min_count)
+    counted = written(words.where(F.col("term").rlike(r"^\p{L}+$")).groupBy("term").agg(n_rows("freq")), "words")
+    return counted.where(F.col("freq") * one_in >= scalar(counted.agg(F.sum("freq"))))
 
 
 @query

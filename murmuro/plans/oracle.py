@@ -314,9 +314,10 @@ DICTIONARY = rf"""sw AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(
   FROM (SELECT doc_id, regexp_extract_all(text, '\S+') AS ws FROM documents)),
 alpha AS MATERIALIZED (SELECT word, {_ASCII.format("word")} AS a, length(word) AS len, count(*) AS freq FROM sw
   WHERE regexp_matches(word, '^\p{{L}}+$') GROUP BY word),
-dict AS MATERIALIZED (SELECT word AS term, a AS b, freq, unnest(range(len - 2, len + 3)) AS len FROM alpha WHERE freq >= 20),
+dict AS MATERIALIZED (SELECT word AS term, a AS b, freq, unnest(range(len - 2, len + 3)) AS len FROM alpha
+  WHERE freq * 20000 >= (SELECT sum(freq) FROM alpha)),
 close AS MATERIALIZED (SELECT word, alpha.freq AS rows, term, dict.freq, levenshtein(a, b) AS d
-  FROM (SELECT * FROM alpha WHERE freq < 20) alpha JOIN dict USING (len) WHERE levenshtein(a, b) <= 2),
+  FROM (SELECT * FROM alpha WHERE freq * 20000 < (SELECT sum(freq) FROM alpha)) alpha JOIN dict USING (len) WHERE levenshtein(a, b) <= 2),
 fixes AS (SELECT word, rows, term FROM close QUALIFY row_number() OVER (PARTITION BY word ORDER BY d, freq DESC, term) = 1)"""
 
 # Retrieval
@@ -421,7 +422,7 @@ SQL: dict[str, str] = {
         SELECT word, arg_min(stem, {{'n': length(stem), 's': stem}}) AS lemma FROM cand
         WHERE stem IN (SELECT token FROM vocab) AND length(stem) < length(word) GROUP BY word""",
     "distinct_texts": """SELECT min(doc_id) AS doc_id, arg_min(source, doc_id) AS video_id, text FROM documents GROUP BY text""",
-    "stream_ingest": f"WITH {UNIQUE_DOCS} SELECT text FROM uniq",
+    "stream_ingest": f"WITH {UNIQUE_DOCS} SELECT u.doc_id, d.source, d.lang, u.text FROM uniq u JOIN documents d USING (doc_id)",
     "metadata_csv_round_trip": f"""WITH {COMMENTS} SELECT video_id, author, text, likes, {DAY.format("published_at")} AS published
         FROM comments""",
     "browse_filtered": f"""WITH {RATED} SELECT doc_id, author, text, sentiment, likes, {DAY.format("published_at")} AS published_at, topic
@@ -433,6 +434,13 @@ SQL: dict[str, str] = {
         ORDER BY length(text) DESC, doc_id LIMIT 50""",
     "browse_newest": f"""WITH {COMMENTS} SELECT doc_id, {DAY.format("published_at")} AS published FROM comments
         ORDER BY published_at DESC NULLS LAST, doc_id LIMIT 50""",
+    "browse_oldest": f"""WITH {COMMENTS} SELECT doc_id, {DAY.format("published_at")} AS published FROM comments
+        ORDER BY published_at ASC NULLS LAST, doc_id LIMIT 50""",
+    "browse_export": f"""WITH {RATED} SELECT doc_id, author, sentiment, likes, {DAY.format("published_at")} AS published_at
+        FROM rated WHERE sentiment = 'negative' AND likes >= 100""",
+    "enriched_round_trip": f"""WITH {COMMENTS}, {ENTITIES} SELECT c.doc_id, c.likes, {DAY.format("c.published_at")} AS published,
+        coalesce(string_agg(entity, '|' ORDER BY n), '') AS entities
+        FROM comments c LEFT JOIN named USING (doc_id) GROUP BY ALL""",
     "scope_first": "SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT 500",
     "scope_most_liked": f"WITH {COMMENTS} SELECT doc_id, likes FROM comments ORDER BY likes DESC, doc_id LIMIT 500",
     "scope_newest": f"""WITH {COMMENTS} SELECT doc_id, {DAY.format("published_at")} AS published FROM comments
@@ -637,8 +645,25 @@ SQL: dict[str, str] = {
         FROM uniq u JOIN rule USING (doc_id) LEFT JOIN e USING (doc_id) LEFT JOIN kw USING (doc_id)""",
     "lemma_frequencies": "",
 }
+_LEMMAS = f"lem AS ({SQL['attested_lemmas'].split(f'WITH {TOKENS}, ')[1].join(['WITH ', ''])})"
+# Every token replaced by its lemma, then counted like plain tokens.
+LEMMA_TOKENS = f"""{TOKENS}, {_LEMMAS},
+ltok AS (SELECT doc_id, pos, coalesce(lemma, token) AS token FROM tok LEFT JOIN lem ON lem.word = token),
+lvocab AS (SELECT token, count(*) AS n FROM ltok GROUP BY token)"""
+
+
+def on_lemmas(sql: str) -> str:
+    return sql.replace("tok ", "ltok ").replace("vocab", "lvocab")
+
+
+SQL["lemma_cloud_weights"] = f"""WITH {LEMMA_TOKENS} SELECT token, n AS count,
+    round(n / (SELECT max(n) FROM lvocab), 6) AS weight FROM lvocab ORDER BY n DESC, token LIMIT 120"""
+SQL["lemma_bigrams"] = f"WITH {LEMMA_TOKENS}, {on_lemmas(GRAMS2)} {TOP_GRAMS}"
+SQL["lemma_trigrams"] = f"WITH {LEMMA_TOKENS}, {on_lemmas(GRAMS3)} {TOP_GRAMS}"
+SQL["lemma_bigram_collocations"] = f"WITH {LEMMA_TOKENS}, {on_lemmas(GRAMS2)} {on_lemmas(pmi(2))}"
+SQL["lemma_trigram_collocations"] = f"WITH {LEMMA_TOKENS}, {on_lemmas(GRAMS3)} {on_lemmas(pmi(3))}"
 SQL["lemma_frequencies"] = (
-    f"WITH {TOKENS}, lem AS ({SQL['attested_lemmas'].split(f'WITH {TOKENS}, ')[1].join(['WITH ', ''])})"
+    f"WITH {TOKENS}, {_LEMMAS}"
     " SELECT coalesce(lemma, token) AS token, sum(n)::BIGINT AS count FROM vocab LEFT JOIN lem ON lem.word = token"
     " GROUP BY 1 ORDER BY count DESC, 1 LIMIT 30"
 )

@@ -56,17 +56,29 @@ COLLECTOR_PAGE = T.StructType(
 )
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path holds readable data, on whatever file system it names."""
+def _file_names(spark: SparkSession, path: str, n: int) -> list[str] | None:
+    """Up to `n` data files at or under a path, None when there is no such path."""
     try:
-        spark.read.format("binaryFile").load(path).limit(1).count()
-        return True
+        return [r["path"] for r in spark.read.format("binaryFile").load(path).select("path").limit(n).collect()]
     except Exception as error:
         if "PATH_NOT_FOUND" in str(error):
-            return False
+            return None
         raise
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path holds data files, on whatever file system it names."""
+    return bool(_file_names(spark, path, 1))
+
+
+def complete(spark: SparkSession, path: str) -> bool:
+    """Whether a path is a single file, or a folder whose write came to its end (it has a `_SUCCESS`)."""
+    if _file_names(spark, f"{path}/_SUCCESS", 1) is not None:
+        return True
+    found = _file_names(spark, path, 2) or []
+    return len(found) == 1 and found[0].endswith("/" + path.rstrip("/").rsplit("/", 1)[-1])
+
+
 def read_comments_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_COMMENTS) -> DataFrame:
     """Comment CSV with quoted line breaks; the usual missing-value spellings become NULL."""
     raw = (
@@ -105,7 +117,7 @@ def write_enriched(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def load_comments(spark: SparkSession, enriched: str, clean_csv: str, empty: T.StructType = RAW_COMMENTS) -> DataFrame:
     """The enriched table if it is there, else the clean CSV, else an empty frame; dates parsed."""
-    if exists(spark, enriched):
+    if complete(spark, enriched):
         df = spark.read.parquet(enriched)
     elif exists(spark, clean_csv):
         df = read_comments_csv(spark, clean_csv)
@@ -173,7 +185,7 @@ def write_metrics(metrics: DataFrame, path: str, run_name: str, params: dict[str
 
 
 def build_stage(spark: SparkSession, path: str, build: Callable[[], DataFrame], rebuild: bool = False) -> DataFrame:
-    """Build a stage's table unless it is already there; `rebuild` forces it."""
-    if rebuild or not exists(spark, path):
+    """Build a stage's table unless it is already there in full; `rebuild` forces it."""
+    if rebuild or not complete(spark, path):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -8,29 +8,44 @@ from pyspark.sql.streaming import StreamingQuery
 
 from murmuro import fixed_values as fixed
 from murmuro.functions import text
+from murmuro.sources.files import exists
 
 
-def clean_stream(stream: DataFrame, keep: str = "7 days", min_length: int = fixed.MIN_TEXT_LENGTH) -> DataFrame:
-    """Clean, drop short texts, drop texts already seen.
+def clean_batch(batch: DataFrame, order_key: str | None = None, min_length: int = fixed.MIN_TEXT_LENGTH) -> DataFrame:
+    """Clean, keep one row per text (the smallest by `order_key`, then by the other columns), drop short texts.
 
-    The watermark runs on arrival time, so nothing is ever late and no row is lost to it;
-    it only bounds how long a text is remembered. A copy arriving after `keep` passes and is
-    caught by the batch de-duplication. The length is tested last so that texts are cleaned once.
+    `text_key`, a hash of the text, is what later batches are compared with. The length is tested
+    last so that texts are cleaned once.
+    """
+    others = sorted((c for c in batch.columns if c != "text"), key=lambda c: c != order_key)
+    cleaned = batch.withColumn("text", text.clean_text(F.col("text"))).withColumn("_length", F.length("text"))
+    if others:
+        first = cleaned.groupBy("text", "_length").agg(F.min(F.struct(*others)).alias("_first"))
+        unique = first.select("text", "_length", "_first.*")
+    else:
+        unique = cleaned.distinct()
+    kept = unique.where(F.col("_length") >= min_length).select(*batch.columns)
+    return kept.withColumn("text_key", F.sha2(F.col("text"), 256))
+
+
+def ingest(stream: DataFrame, out: str, checkpoint: str, order_key: str | None = None) -> StreamingQuery:
+    """Process everything that has arrived, append rows whose text is new, stop.
+
+    Every batch owns the folder `batch=<number>`, so a batch repeated after a failure replaces its own
+    rows. Texts are compared with all earlier batches, however old: only their keys are read.
     """
-    cleaned = stream.withColumn("text", text.clean_text(F.col("text")))
-    arrived = cleaned.withColumn("arrived_at", F.current_timestamp())
-    unique = arrived.withWatermark("arrived_at", keep).dropDuplicatesWithinWatermark(["text"])
-    return unique.where(F.length("text") >= min_length)
 
+    def append_new(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        fresh = clean_batch(batch, order_key)
+        if exists(spark, f"{out}/batch=*"):
+            seen = spark.read.option("basePath", out).parquet(f"{out}/batch=*").where(F.col("batch") != number)
+            fresh = fresh.join(seen.select("text_key"), "text_key", "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-def ingest(stream: DataFrame, out: str, checkpoint: str, keep: str = "7 days") -> StreamingQuery:
-    """Process everything that has arrived, append to Parquet, stop."""
     return (
-        clean_stream(stream, keep)
-        .writeStream.format("parquet")
-        .option("path", out)
+        stream.writeStream.foreachBatch(append_new)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )

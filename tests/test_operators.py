@@ -11,6 +11,7 @@ from murmuro import runtime
 from murmuro.operators import (
     chunking,
     classify,
+    clean,
     entities,
     evaluate,
     keywords,
@@ -429,6 +430,22 @@ def test_classifier_learns_and_predicts(spark):
     assert [r["sentiment"] for r in got] == ["good", "bad"] and all(0.5 <= r["sentiment_score"] <= 1 for r in got)
 
 
+def test_tuning_with_a_label_missing_from_folds(spark):
+    data = [(i, f"lovely picnic n{i}" if i % 2 else f"awful mess n{i}", "good" if i % 2 else "bad") for i in range(40)]
+    data += [(40, "odd one", "rare"), (41, "odd two", "rare")]
+    df = spark.createDataFrame(data, "doc_id bigint, text string, label string")
+    model, table = classify.train(df, tune=True, draws=1, folds=2, iterations=5)
+    assert {"good", "bad", "rare"} <= {r["name"] for r in table.collect()}
+    assert model.stages[0].labels == ["bad", "good", "rare"]
+
+
+def test_every_term_is_a_feature(spark):
+    data = [(i, " ".join(f"w{i}x{j}" for j in range(2500)), "ab"[i % 2]) for i in range(40)]
+    df = spark.createDataFrame(data, "doc_id bigint, text string, label string")
+    model, _ = classify.train(df, iterations=1)
+    assert len(model.stages[1].vocabulary) == 32 * (2500 + 2499)
+
+
 def test_routing(spark):
     df = spark.createDataFrame([("Sentiment!",), (" the topics",), ("unclear",), (None,), ("summary of topics",)], "text string")
     assert [tuple(r)[1:] for r in report.routed(df).collect()] == [
@@ -456,6 +473,40 @@ def test_enrich_with_spelling(spark):
     assert [r["topic"] for r in got] == [-1, -1] and "hello" in got[0]["keywords"]
 
 
+def test_corrected_copies_are_removed_before_numbering(spark):
+    raw = spark.createDataFrame([(0, "helo world"), (1, "hello world"), (2, "hello you")], "doc_id bigint, text string")
+    words = runtime.fixed_table(spark, [("hello", 5), ("world", 5), ("you", 5)], "term string, freq bigint")
+    got = clean.clean_comments(raw, correct=lambda df: spelling.correct_text(df, words)).orderBy("doc_id").collect()
+    assert [(r["comment_id"], r["text"]) for r in got] == [("c000000", "hello world"), ("c000001", "hello you")]
+
+
+def test_lemmas_of_ngrams(spark):
+    df = texts(spark, "red cars stop", "red car stops", "red car stop")
+    lemmas = spark.createDataFrame([("cars", "car"), ("stops", "stop")], "word string, lemma string")
+    assert dict(rows(lexical.top_ngrams(df, 2, lemmas=lemmas))) == {"red car": 3, "car stop": 3}
+    got = {r["gram"]: (r["freq"], r["pmi"]) for r in lexical.collocations(df, 2, lemmas=lemmas).collect()}
+    assert got == {"red car": (3, round(math.log2(3), 9)), "car stop": (3, round(math.log2(3), 9))}
+
+
+def test_stream_keeps_columns_and_replaces_a_repeated_batch(spark, tmp_path):
+    def arrive(*data):
+        spark.createDataFrame(data, "doc_id bigint, text string").write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema("doc_id bigint, text string").parquet(str(tmp_path / "in"))
+        ingest.ingest(stream, str(tmp_path / "out"), str(tmp_path / "state"), "doc_id").awaitTermination()
+
+    def stored():
+        return sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    arrive((2, "same  text"), (1, "same text"), (3, None), (4, ""))
+    arrive((5, "same text"), (6, "new text"))
+    assert stored() == [(1, "same text"), (6, "new text")]
+    last = max((tmp_path / "state" / "commits").glob("[0-9]*"))
+    last.unlink()
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    arrive((7, "third text"))
+    assert stored() == [(1, "same text"), (6, "new text"), (7, "third text")]
+
+
 def test_stream_equals_batch(spark, tmp_path):
     for i, batch in enumerate([["alpha one", "beta two"], ["alpha one", "x", "gamma   three"]]):
         spark.createDataFrame([(t,) for t in batch], "text string").write.mode("append").parquet(str(tmp_path / "in"))

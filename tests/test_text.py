@@ -167,6 +167,12 @@ def test_metrics_index_and_stages(spark, tmp_path):
     assert files.build_stage(spark, path, build).count() == 1
     assert files.build_stage(spark, path, build).count() == 1
     assert files.build_stage(spark, path, build, rebuild=True).count() == 2
+    (tmp_path / "s" / "_SUCCESS").unlink()
+    assert files.build_stage(spark, path, build).count() == 3
+    (tmp_path / "empty").mkdir()
+    assert not files.exists(spark, str(tmp_path / "empty")) and not files.complete(spark, str(tmp_path / "empty"))
+    (tmp_path / "one.parquet").write_bytes(next((tmp_path / "s").glob("part*")).read_bytes())
+    assert files.complete(spark, str(tmp_path / "one.parquet"))
 
 
 def test_scope_and_optional_columns(spark):
