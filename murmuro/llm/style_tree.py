@@ -2,9 +2,10 @@
 
 The pages of a host are merged into one tree whose nodes are tag-and-class paths. A node's importance is
 the entropy of what its pages show there, divided by the logarithm of their number: the same text on
-every page gives 0, a text of its own on each gives 1. Nodes whose kind says what they are (navigation,
-forms, scripts, adverts, comments on one side, an article on the other) have their importance fixed.
-Branches of low importance are removed from each page, and what is left is its text.
+every page gives 0, a text of its own on each gives 1. A text that stands at a node on many pages counts as
+low by itself, whatever the node's other texts. Nodes whose kind says what they are (navigation, forms, scripts,
+adverts, comments) are left out; an article is a prior on the importance of what is in and around it.
+What is of low importance is removed from each page, and what is left is its text.
 """
 
 from __future__ import annotations
@@ -18,10 +19,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmuro.runtime import written
+from murmuro.runtime import lookup_join, written
 
-# Nodes of lower importance are removed, once so many pages and such a share of the host's pages have them.
-LEAST_IMPORTANCE, LEAST_PAGES, LEAST_SHARE = 0.35, 3, 0.1
+# Nodes of lower importance are removed, once so many pages have them.
+LEAST_IMPORTANCE, LEAST_PAGES = 0.35, 3
+# What the article says beforehand about a node weighs as much as so many pages.
+PRIOR_PAGES = 3
 
 _RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "svg", "math", "xmp", "noembed"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -41,6 +44,8 @@ _NOISE_WORDS = set(
 )
 # Only outside an article: inside one they hold its title or source.
 _OUTER_WORDS = {"header", "footer", "masthead", "topbar", "login", "search"}
+# Of an article that has comments, not of a comment.
+_STATES = {"open", "closed", "status", "count"}
 # An end tag of one of these closes what is open inside; a paragraph does not reach beyond them.
 _SCOPE = _BLOCK - {"p", "h1", "h2", "h3", "h4", "h5", "h6"}
 
@@ -65,6 +70,12 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(text)}
 
 
+def _is_comment(name: str) -> bool:
+    """Does this class or id name a reader's comment, and not, as "comments-open", the state of an article?"""
+    words = [w.lower() for w in _CAMEL.findall(name)]
+    return bool(words) and (words[0] in ("comment", "reply") or words in (["comments"], ["replies"])) and not _STATES & set(words)
+
+
 def _noisy(tag: str, attributes: dict[str, str], article: bool) -> bool:
     """Is this node one that never holds main text?"""
     if tag in _NOISE or tag == "header" and not article:
@@ -75,7 +86,9 @@ def _noisy(tag: str, attributes: dict[str, str], article: bool) -> bool:
         return True
     if _HIDDEN.search(attributes.get("style", "")):
         return True
-    if tag in ("html", "body", "main", "article"):
+    if tag == "article":
+        return any(_is_comment(c) for c in f"{attributes.get('class', '')} {attributes.get('id', '')}".split())
+    if tag in ("html", "body", "main"):
         return False
     words = {w.lower() for w in _CAMEL.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}")}
     return bool(words & _NOISE_WORDS or not article and words & _OUTER_WORDS)
@@ -151,7 +164,7 @@ def blocks(page: str) -> Iterator[tuple[int, int, bool, str]]:
         elif kind == OPEN and tag in ("article", "main"):
             kind = KEPT
         path = node.path
-        if tag in _BLOCK and kind == OPEN:
+        if tag in _BLOCK and kind != REMOVED:
             path = xxhash.xxh64_intdigest(f"{path} {tag} {attributes.get('class', '')} {attributes.get('id', '')}") >> 1
         if kind == REMOVED and node.kind != REMOVED and tag not in _BLOCK:
             text.append(" " if tag not in _RAW else "")
@@ -187,44 +200,58 @@ def _close_implied(stack: list[_Node], tag: str, pop) -> None:
             pop()
 
 
-def _host(url: str) -> str:
-    found = re.match(r"\s*(?:[a-z][a-z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:\s]+)", url, re.I)
-    return found[1].lower() if found else ""
+def _kept(page: str) -> list[tuple[int, int, bool, str]]:
+    """The page's blocks without removed ones."""
+    return [b for b in blocks(page) if b[1] != REMOVED]
 
 
-def _chosen(page: str) -> tuple[list[tuple[int, int, bool, str]], bool]:
-    """The page's blocks without removed ones, and whether it has an article with text."""
-    found = [b for b in blocks(page) if b[1] != REMOVED]
-    inside = [b for b in found if b[2]]
-    return (inside, True) if inside else (found, False)
+def _key(path: int, text: str) -> int:
+    return xxhash.xxh64_intdigest(f"{path} {text}") >> 1
 
 
-def node_importance(pages: DataFrame) -> DataFrame:
-    """(host, path, pages, importance) of the nodes without a fixed importance.
+def page_nodes(pages: DataFrame) -> DataFrame:
+    """(host, page, shown, path, block, whole, first, prior, copies) of pages (host, page, html), a row for each block.
 
-    Counted as distinct (host, path, content) rows first, so a large host is spread over its contents.
+    `shown` is a digest of all that is left of the page, `whole` of what it shows at the path; one block of each
+    path is its `first`. `prior` is 1 inside an article; outside it is the share of the page's text that
+    is outside, so a page whose article is but a teaser keeps its story; null where there is no article.
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple[str, int, int]] = []
-            for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                found, article = _chosen(page)
-                if article:
-                    continue
-                shown: dict[int, xxhash.xxh64] = {}
-                for path, _, _, text in found:
-                    shown.setdefault(path, xxhash.xxh64()).update(f"{text}\n")
-                rows += [(url, p, (h.intdigest() >> 1)) for p, h in shown.items()]
-                rows.append((url, -1, 0))  # counts the host's pages
-            hosts = [_host(r[0]) for r in rows]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64())],
-                ["host", "path", "content"],
-            )
+            rows: list[tuple] = []
+            for host, page, text in zip(*(batch.column(c).to_pylist() for c in ("host", "page", "html")), strict=True):
+                found = _kept(text)
+                size = sum(len(b[3]) for b in found)
+                outside = sum(len(b[3]) for b in found if not b[2])
+                shown, whole = xxhash.xxh64(), {}
+                keys: dict[int, tuple[int, float | None]] = {}
+                for path, _, article, words in found:
+                    line = f"{words}\n"
+                    shown.update(f"{path} {line}")
+                    whole.setdefault(path, xxhash.xxh64()).update(line)
+                    keys.setdefault(_key(path, words), (path, 1.0 if article else outside / size if outside < size else None))
+                begun = set()
+                for key, (path, prior) in keys.items():
+                    digest = whole[path].intdigest() >> 1
+                    rows.append((host, page, shown.intdigest() >> 1, path, key, digest, path not in begun, prior))
+                    begun.add(path)
+            columns = zip(*rows, strict=True) if rows else [[] for _ in kinds]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], list(kinds))
+
+    kinds = {"host": pa.string()} | dict.fromkeys(("page", "shown", "path", "block", "whole"), pa.int64())
+    kinds |= {"first": pa.bool_(), "prior": pa.float64()}
+    schema = "host string, page bigint, shown bigint, path bigint, block bigint, whole bigint, first boolean, prior double"
+    rows = pages.select("host", "page", "html").mapInArrow(emit, schema)
+    return rows.groupBy(*kinds).agg(F.count(F.lit(1)).alias("copies"))
+
+
+def node_importance(seen: DataFrame) -> DataFrame:
+    """(host, path, pages, importance) of the nodes in distinct rows (host, shown, path, block, whole, first).
 
-    rows = pages.mapInArrow(emit, "host string, path bigint, content bigint")
-    counts = rows.groupBy("host", "path", "content").agg(F.count(F.lit(1)).alias("c"))
+    Counted as distinct (host, path, content) rows first, so a large host is spread over its contents.
+    """
+    counts = seen.where("first").groupBy("host", "path", "whole").agg(F.count(F.lit(1)).alias("c"))
     # sum of -c/n log(c/n) is log n - (sum of c log c) / n
     nodes = counts.groupBy("host", "path").agg(F.sum("c").alias("pages"), F.sum(F.col("c") * F.log("c")).alias("clogc"))
     entropy = F.log("pages") - F.col("clogc") / F.col("pages")
@@ -236,44 +263,50 @@ def node_importance(pages: DataFrame) -> DataFrame:
     )
 
 
-def removed_nodes(
-    importance: DataFrame, least: float = LEAST_IMPORTANCE, pages: int = LEAST_PAGES, share: float = LEAST_SHARE
-) -> DataFrame:
-    """(host, paths): the low branches of each host, only hosts that have some.
+def removed_blocks(rows: DataFrame, least: float = LEAST_IMPORTANCE, pages: int = LEAST_PAGES) -> DataFrame:
+    """(host, page, gone, copies): the low blocks of each page, only pages that have some; `rows` as of `page_nodes`.
 
-    A path on a share of a host's pages at least: there are at most (nodes of a page) / share of them.
+    A block is as important as its node, or less where its own text stands at that node on many pages: on c of
+    n it gives 1 - log c / log n, whose mean over a node is the node's importance. Pages that show the same count once.
     """
-    hosts = importance.where(F.col("path") == -1).select("host", F.col("pages").alias("of"))
-    low = importance.where((F.col("path") != -1) & (F.col("importance") < least) & (F.col("pages") >= pages))
-    low = low.join(hosts, "host").where(F.col("pages") >= share * F.col("of"))
-    return low.groupBy("host").agg(F.collect_list("path").alias("paths"))
+    seen = written(rows.select("host", "shown", "path", "block", "whole", "first").distinct(), "seen")
+    nodes = written(node_importance(seen).withColumn("weight", F.col("pages")), "nodes")
+    again = seen.groupBy("host", "path", "block").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    again = written(again.withColumn("weight", F.col("c")), "again")
+    joined = lookup_join(rows, nodes, ["host", "path"], spread=["page"], weight="weight")
+    joined = lookup_join(joined, again, ["host", "path", "block"], "left", spread=["page"], weight="weight")
+    n, prior = F.col("pages"), F.col("prior")
+    measured = F.least("importance", 1 - F.log("c") / F.log(n))
+    low = F.when(prior.isNull(), (measured < least) & (n >= pages))
+    low = low.otherwise(n * measured + PRIOR_PAGES * prior < least * (n + PRIOR_PAGES))
+    # At most the blocks of one page in a row.
+    return joined.where(low).groupBy("host", "page").agg(F.collect_set("block").alias("gone"), F.max("copies").alias("copies"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars): the main text of every page.
 
     Blocks are trimmed, white space inside them becomes one blank, and they are joined by line breaks in
-    page order; character references are decoded. Where a page has an article (or main) element with text,
-    the text outside it is not main text. A missing page or one without text gives an empty text, a
-    missing or unreadable URL puts the page on a host of its own name "". Repeated rows each give a row.
-    Other columns are left out. No rows give no rows.
+    page order; character references are decoded. Text outside an article (or main) element needs pages of the
+    host that show it to be important, unless it is most of its page; text inside needs them to be removed. A
+    missing page or one without text gives an empty text, a missing or unreadable URL puts the page on a
+    host of its own name "". Repeated rows each give a row. Other columns are left out. No rows give no rows.
     """
-    pages = pages.select(
-        "page_id", F.col("url").alias("link"), F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html")
-    )
-    low = written(removed_nodes(written(node_importance(pages), "nodes")), "removed")
-    host = F.lower(F.regexp_extract("url", r"(?i)^\s*(?:[a-z][a-z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:\s]+)", 1))
-    joined = pages.withColumn("host", host).join(low, "host", "left").select("page_id", "link", "html", "paths")
+    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"(?i)^\s*(?:[a-z][a-z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:\s]+)", 1))
+    pages = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
+    pages = pages.withColumn("page", F.xxhash64("html"))
+    low = written(removed_blocks(written(page_nodes(pages), "rows")), "removed")
+    joined = lookup_join(pages, low, ["host", "page"], "left", spread=["page_id", "url"], weight="copies")
+    joined = joined.select("page_id", "url", "html", "gone")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for page, low_paths in zip(batch.column("html").to_pylist(), batch.column("paths").to_pylist(), strict=True):
-                found, article = _chosen(page)
-                gone = set(low_paths or ()) if not article else set()
-                texts.append("\n".join(b[3] for b in found if b[0] not in gone))
+            for page, low_blocks in zip(batch.column("html").to_pylist(), batch.column("gone").to_pylist(), strict=True):
+                gone = set(low_blocks or ())
+                texts.append("\n".join(b[3] for b in _kept(page) if not gone or _key(b[0], b[3]) not in gone))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("link"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+                [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 ["page_id", "url", "text", "n_chars"],
             )
 

@@ -444,6 +444,23 @@ def test_main_text_of_the_given_pages(spark):
         assert got[r.page_id] == "\n".join(p for p in parts if p)
 
 
+def test_articles_are_part_of_the_tree(spark):
+    story = lambda i: f"Story {i} tells of {i * i} things that happened"
+    rows = [(i, f"https://c.example/{i}", f"<body><article><h1>Title {i}</h1><p>{story(i)}<p>Join our readers every day<div>All rights kept</div></article></body>") for i in range(8)]
+    # teasers next to the story, and a comment marked up as an article
+    rows += [(20 + i, f"https://d.example/{i}", f'<body><div class="story">{story(i)} and on and on</div><article>Teaser {i}</article><article class="comment even">Me too {i}</article></body>') for i in range(8)]
+    rows += [(40, "https://e.example/1", f'<body><div>{story(40)} and on</div><article class="post comments-open">Teaser</article></body>')]
+    # too few words outside a lone article, and copies of one page, which tell nothing of each other
+    rows += [(41, "https://f.example/1", f"<body><div>Day 1</div><article>{story(41) * 5}</article></body>")]
+    rows += [(50 + i, f"https://g.example/{i}", f"<body><nav>{i}</nav><article><p>{story(50)}</article></body>") for i in range(9)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in style_tree.main_text(df).collect()}
+    assert [got[i] for i in range(8)] == [f"Title {i}\n{story(i)}" for i in range(8)]
+    assert [got[20 + i] for i in range(8)] == [f"{story(i)} and on and on\nTeaser {i}" for i in range(8)]
+    assert got[40] == f"{story(40)} and on\nTeaser" and got[41] == story(41) * 5
+    assert [got[50 + i] for i in range(9)] == [story(50)] * 9
+
+
 # The pipeline
 
 
