@@ -54,6 +54,7 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _CAMEL = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+_DIGITS = re.compile(r"\d+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 KEPT, OPEN, REMOVED = 1, 0, -1
@@ -165,7 +166,8 @@ def blocks(page: str) -> Iterator[tuple[int, int, bool, str]]:
             kind = KEPT
         path = node.path
         if tag in _BLOCK and kind != REMOVED:
-            path = xxhash.xxh64_intdigest(f"{path} {tag} {attributes.get('class', '')} {attributes.get('id', '')}") >> 1
+            # Ids, and numbers in classes, are often of one page only ("post-123"): nodes below would meet no others.
+            path = xxhash.xxh64_intdigest(f"{path} {tag} {_DIGITS.sub('', attributes.get('class', ''))}") >> 1
         if kind == REMOVED and node.kind != REMOVED and tag not in _BLOCK:
             text.append(" " if tag not in _RAW else "")
         stack.append(_Node(tag, kind, path, article))

@@ -461,6 +461,17 @@ def test_articles_are_part_of_the_tree(spark):
     assert [got[50 + i] for i in range(9)] == [story(50)] * 9
 
 
+def test_rare_templates_and_numbered_wrappers(spark):
+    rows = []
+    for i in range(80):
+        notice = "<section><p>Same note on few pages</section>" if i < 4 else ""
+        rows.append((i, "https://h.example/", f"<body><div class='t{'abcdefgh'[i % 8]}'>Story {i} of {i * i}</div>{notice}</body>"))
+    rows += [(100 + i, "https://i.example/", f'<body><div id="post-{i}" class="post post-{i}"><p>Story {i} of {i * i}</p><div>Same note</div></div></body>') for i in range(6)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in style_tree.main_text(df).collect()}
+    assert got == {i: f"Story {i % 100} of {(i % 100) ** 2}" for i in got} and len(got) == 86
+
+
 # The pipeline
 
 
