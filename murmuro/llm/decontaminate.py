@@ -9,6 +9,7 @@ are counted, so that substitutions anywhere are tolerated up to a set share.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +19,9 @@ from pyspark.sql import functions as F
 from murmuro.llm.words import mixed, text_or_empty, word_hashes
 from murmuro.runtime import written
 
-# The first finds copies; the others, whose gaps lie elsewhere, go on where single words were exchanged.
-MASKS = ("11111111", "11011010011", "111001010111")
+# Whatever words are exchanged in a stretch that counts as an overlap, one of these hits it somewhere. Chosen by an
+# exhaustive search over masks of up to 12 words; no three that use seven words do so.
+MASKS = ("11010111", "11101100001", "101000010111")
 # An overlap counts from so many words in a row laid over each other, of which such a share agrees.
 LEAST_WORDS, LEAST_AGREEING = 13, 0.8
 # Items of fewer words say nothing about where they come from and overlap nothing.
@@ -42,9 +44,18 @@ def spaced_hashes(words: np.ndarray, mask: str, number: int) -> np.ndarray:
     return mixed(out)
 
 
-def _whole_hash(words: np.ndarray) -> np.ndarray:
-    """Hash of an item shorter than every mask, taken over all its words."""
-    return spaced_hashes(words, "1" * len(words), 1_000 + len(words))
+def whole_masks(n: int, share: float) -> list[tuple[str, int]]:
+    """(mask, number) over all words of an item of `n` words that hit wherever such a share of them agrees.
+
+    The first and last word agree. The others fall into two groups more than words may differ, and each mask
+    ignores as many groups as words may differ, so one of them ignores every word that does.
+    """
+    differ = int((1 - share) * n + 1e-9)
+    groups = min(differ + 2, n - 2)
+    masks = []
+    for ignored in combinations(range(groups), min(differ, groups)):
+        masks.append("1" + "".join("0" if i % groups in ignored else "1" for i in range(n - 2)) + "1")
+    return [(m, 1_000 * n + k) for k, m in enumerate(masks)]
 
 
 def _probes(hashes: np.ndarray) -> Iterator[np.ndarray]:
@@ -53,18 +64,19 @@ def _probes(hashes: np.ndarray) -> Iterator[np.ndarray]:
         yield (hashes + np.uint64(k) * step) >> np.uint64(64 - FILTER_BITS)
 
 
-def item_hashes(items: DataFrame) -> DataFrame:
-    """(item, hash, at) of benchmark rows (item, text): every mask at every position."""
+def item_hashes(items: DataFrame, share: float = LEAST_AGREEING) -> DataFrame:
+    """(item, hash, at) of benchmark rows (item, text): every mask at every position, a short item's own masks too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = [(np.empty(0, np.int64),) * 3]
             for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 words = word_hashes(text)
-                found = [spaced_hashes(words, m, k) for k, m in enumerate(MASKS)]
-                if LEAST_ITEM <= len(words) < min(map(len, MASKS)):
-                    found = [_whole_hash(words)]
-                for h in found:
+                kinds = [(m, k) for k, m in enumerate(MASKS)] if len(words) >= LEAST_ITEM else []
+                if LEAST_ITEM <= len(words) < LEAST_WORDS:
+                    kinds += whole_masks(len(words), share)
+                for mask, k in kinds:
+                    h = spaced_hashes(words, mask, k)
                     out.append((np.full(len(h), item), h.view(np.int64), np.arange(len(h))))
             item, hash_, at = (np.concatenate(x) for x in zip(*out, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(item), pa.array(hash_), pa.array(at)], ["item", "hash", "at"])
@@ -103,10 +115,11 @@ def hash_filter(hashes: DataFrame) -> np.ndarray:
     return out
 
 
-def document_hits(rows: DataFrame, bits: np.ndarray, short: list[int]) -> DataFrame:
-    """(row, doc_id, words, hits) of documents with hashes that pass the filter; `short`: lengths of items under a mask."""
+def document_hits(rows: DataFrame, bits: np.ndarray, short: list[int], share: float = LEAST_AGREEING) -> DataFrame:
+    """(row, doc_id, words, hits) of documents with hashes that pass the filter; `short`: lengths of short items."""
     shared = rows.sparkSession.sparkContext.broadcast(bits)
     schema = "row bigint, doc_id bigint, words array<bigint>, hits array<struct<hash: bigint, at: bigint>>"
+    kinds = [(m, k) for k, m in enumerate(MASKS)] + [x for n in short for x in whole_masks(n, share)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -114,7 +127,6 @@ def document_hits(rows: DataFrame, bits: np.ndarray, short: list[int]) -> DataFr
             out: list[tuple] = []
             for row, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = word_hashes(text)
-                kinds = [(m, k) for k, m in enumerate(MASKS)] + [("1" * n, 1_000 + n) for n in short]
                 hits = []
                 for mask, k in kinds:
                     h = spaced_hashes(words, mask, k)
@@ -173,18 +185,18 @@ def overlaps(
     """(row, doc_id, item_id, doc_from, n_words, n_agreeing): verified overlaps of keyed documents with items.
 
     The best overlap of each document and item, positions and lengths in words. Words are lower-cased
-    without punctuation. Items of fewer words than a mask must agree whole, those under LEAST_ITEM words overlap
-    nothing; a missing text is empty. Items of the same words are compared once and reported each.
+    without punctuation. An item of fewer than `least` words must be covered whole, those under LEAST_ITEM words overlap
+    nothing; a missing text is empty. No overlap is missed for a `least` of LEAST_WORDS and a `share` of LEAST_AGREEING
+    or more. Items of the same words are compared once and reported each.
     """
     listed = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), text_or_empty().alias("text"))
     # Items of one text are one item here.
     texts = listed.select("text").distinct().withColumn("item", F.monotonically_increasing_id())
     texts = written(texts, "items")
-    hashes = written(item_hashes(texts), "item_hashes")
+    hashes = written(item_hashes(texts, share), "item_hashes")
     lengths = written(item_words(texts), "item_words")
-    shortest = min(map(len, MASKS))
-    short = [r.n for r in lengths.select(F.size("item_words").alias("n")).where(f"n >= {LEAST_ITEM} AND n < {shortest}").distinct().collect()]
-    found = written(document_hits(docs, hash_filter(hashes), sorted(short)), "hits")
+    short = [r.n for r in lengths.select(F.size("item_words").alias("n")).where(f"n >= {LEAST_ITEM} AND n < {LEAST_WORDS}").distinct().collect()]
+    found = written(document_hits(docs, hash_filter(hashes), sorted(short), share), "hits")
     hits = found.select("row", F.explode("hits").alias("hit")).select("row", "hit.hash", F.col("hit.at").alias("doc_at"))
     places = hits.join(hashes, "hash")
     places = places.select("row", "item", (F.col("doc_at") - F.col("at")).alias("shift")).distinct()

@@ -356,6 +356,46 @@ def test_decontamination_against_brute_force(spark, documents, messy, nothing):
     assert want and want <= got and {d for d, _ in got} == {d for d, _ in want}
 
 
+def _exchanged(n, k):
+    """Texts of n words with k inner ones exchanged, in every way."""
+    for chosen in itertools.combinations(range(1, n - 1), k):
+        yield [f"x{i}" if i in chosen else f"w{i}" for i in range(n)]
+
+
+def test_masks_miss_no_overlap():
+    ids = defaultdict(lambda: len(ids) + 1)
+    hashed = lambda w: np.array([ids[x] for x in w], np.uint64)
+    for n in [*range(decontaminate.LEAST_ITEM, 21)]:
+        whole = hashed(f"w{i}" for i in range(n))
+        kinds = [(m, k) for k, m in enumerate(decontaminate.MASKS)]
+        kinds = decontaminate.whole_masks(n, 0.8) if n < decontaminate.LEAST_WORDS else kinds
+        want = [decontaminate.spaced_hashes(whole, *k) for k in kinds]
+        for text in _exchanged(n, n // 5):
+            assert any((decontaminate.spaced_hashes(hashed(text), *k) == h).any() for k, h in zip(kinds, want, strict=True)), text
+    # Any length: the fewest exchanged words of a text that no mask hits, by the last words (1: exchanged).
+    size = 1 << max(map(len, decontaminate.MASKS))
+    state = np.arange(size)
+    hit = np.any([(state & int(m, 2)) == 0 for m in decontaminate.MASKS], axis=0)
+    least = np.full(size, 1e9)
+    least[size - 2] = 0
+    for n in range(2, 400):
+        after = np.full(size, 1e9)
+        for differs in (0, 1):
+            np.minimum.at(after, (state << 1 | differs) & size - 1, least + differs)
+        least = np.where(hit, 1e9, after)
+        assert n < decontaminate.LEAST_WORDS or least[::2].min() > n // 5
+
+
+def test_decontamination_finds_every_exchange(spark):
+    sizes = {1: (13, 2), 2: (15, 3), 3: (9, 1), 4: (11, 2), 5: (5, 1)}
+    rows = [(1000 * i + j, "before it " + " ".join(w).replace("w", f"w{i}v") + " after it") for i, x in sizes.items() for j, w in enumerate(_exchanged(*x))]
+    items = [(i, " ".join(f"w{i}v{j}" for j in range(n))) for i, (n, _) in sizes.items()]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = decontaminate.contaminated(docs, spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == sorted((d, d // 1000) for d, _ in rows)
+    assert all((r.doc_from, r.n_words, r.n_words - r.n_agreeing) == (2, *sizes[r.item_id]) for r in got)
+
+
 # 9 n-gram Jaccard join
 
 
