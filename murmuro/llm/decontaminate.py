@@ -162,20 +162,20 @@ def best_overlap(document: np.ndarray, item: np.ndarray, shift: int, least: int,
         return None
     same = document[a + shift : b + shift] == item[a:b]
     worth = np.concatenate([[0.0], np.cumsum(np.where(same, 1 - share, -share))])
-    # The longest stretch from i to j with worth[j] >= worth[i]: i falls along the running minimum, j is the last such place.
-    best_after = np.maximum.accumulate(worth[::-1])[::-1]
-    falling = np.flatnonzero(worth == np.minimum.accumulate(worth))
-    ends = len(worth) - 1 - np.searchsorted(best_after[::-1], worth[falling] - 1e-9, side="left")
-    ends = np.clip(ends, 0, len(worth) - 1)
-    k = int(np.argmax(ends - falling))
-    i, j = int(falling[k]), int(ends[k])
-    hits = np.flatnonzero(same[i:j])
-    if not len(hits):
+    # The longest stretch from i to j with worth[j] >= worth[i] that begins and ends with an agreeing word: i falls
+    # along the running minimum of such places, j is the last such place that is worth as much.
+    starts = np.flatnonzero(same)
+    if not len(starts):
         return None
-    i, j = i + int(hits[0]), i + int(hits[-1]) + 1
-    agreeing = int(same[i:j].sum())
-    if j - i < least or agreeing < share * (j - i):
+    ends, worth_there = starts + 1, worth[starts]
+    falling = starts[worth_there == np.minimum.accumulate(worth_there)]
+    best_after = np.maximum.accumulate(worth[ends][::-1])[::-1]
+    last = len(ends) - np.searchsorted(best_after[::-1], worth[falling] - 1e-9, side="left") - 1
+    k = int(np.argmax(ends[last] - falling))
+    i, j = int(falling[k]), int(ends[last[k]])
+    if j - i < least:
         return None
+    agreeing = int(same[i:j].sum())
     return a + i, a + j, agreeing
 
 

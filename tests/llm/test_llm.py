@@ -396,6 +396,26 @@ def test_decontamination_finds_every_exchange(spark):
     assert all((r.doc_from, r.n_words, r.n_words - r.n_agreeing) == (2, *sizes[r.item_id]) for r in got)
 
 
+def test_best_overlap_against_all_stretches():
+    rng = np.random.default_rng(5)
+    # A longer stretch that is alike enough only with differing words at its ends, and one that counts elsewhere.
+    cases = ["011111110111100011110111100101001010111111111", "001111111110110001110000101101001111110111101"]
+    cases += ["".join(rng.choice(["0", "1"], n, p=[q, 1 - q])) for n in (5, 9, 13, 20, 40, 70) for q in (0.1, 0.2, 0.3, 0.5) for _ in range(60)]
+    for same in cases:
+        item = np.arange(len(same), dtype=np.int64)
+        document = np.where(np.array(list(same)) == "1", item, -1)
+        least = min(13, len(same))
+        fits = [
+            (j - i, same[i:j].count("1"))
+            for i in range(len(same)) for j in range(i + least, len(same) + 1)
+            if same[i] == same[j - 1] == "1" and 5 * same[i:j].count("1") >= 4 * (j - i)
+        ]
+        got = decontaminate.best_overlap(document, item, 0, 13, 0.8)
+        assert (got is None) == (not fits)
+        if got:
+            assert (got[1] - got[0], got[2]) in fits and got[1] - got[0] == max(fits)[0] and same[got[0] : got[1]].count("1") == got[2]
+
+
 # 9 n-gram Jaccard join
 
 
