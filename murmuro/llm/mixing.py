@@ -9,17 +9,20 @@ one node per pattern and per source: its size follows the catalogue of sources,
 from __future__ import annotations
 
 from collections import deque
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from murmuro.llm.words import free_name, text_or_empty
-from murmuro.runtime import fixed_table, written
+from murmuro.runtime import fixed_table, is_small, written
 
 # Rows of a pattern that are put in order together.
 BUCKET_ROWS = 2_000
-# Documents after the cut of a pattern among which the rest of its quota is looked for.
-FILLERS = 200
+# A rest of fewer mean documents than this is filled with the largest that fit, a greater one in seeded order.
+FEW = 10
+# The seeded order of a pattern's documents.
+ORDER = ["share", "place", "size", "row"]
 # White space as the sizes define it: blank and the five control characters from tab to carriage return.
 SIZE_WORD = r"[^\x20\x09-\x0D]+"
 
@@ -118,6 +121,88 @@ def route(
     return given
 
 
+def running(rows: DataFrame, size: Column) -> DataFrame:
+    """`rows` with `at`: the sum of `size` over the rows of the pattern before this one in seeded order.
+
+    Rows are (pattern, bucket, share, place, size, row, ...); a bucket row stands for about BUCKET_ROWS documents.
+    """
+    totals = rows.groupBy("pattern", "bucket").agg(F.sum(size).alias("total"))
+    earlier = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select("pattern", "bucket", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("pattern", "bucket").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.join(before, ["pattern", "bucket"])
+    return placed.withColumn("at", F.col("before") + F.coalesce(F.sum(size).over(inside), F.lit(0))).drop("before")
+
+
+def fillers(open_: DataFrame, left: dict[str, int]) -> DataFrame:
+    """(row, from_end): documents that fill what is left of each pattern's quota, and where, counted back from its end.
+
+    `open_`: the documents (pattern, bucket, share, place, size, row) that may be taken. Those too large for the rest
+    are put aside and the running sum goes on over the others, as long as the rest is worth FEW of them. Then
+    the largest that fit come first, by the number of documents of each size, until none fits, and one
+    more document where that comes nearer to the quota than leaving the rest open.
+    """
+    spark = open_.sparkSession
+    kind = "pattern string,gap bigint"
+    gaps = lambda of: F.broadcast(fixed_table(spark, [(p, left[p]) for p in sorted(of)], kind))
+    parts = []
+    while True:
+        left = {p: n for p, n in left.items() if n > 0}
+        fit = open_.join(gaps(left), "pattern").where("size <= gap")
+        stats = fit.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total")).collect()
+        again = {r.pattern for r in stats if left[r.pattern] * r.n > FEW * r.total}
+        if not again:
+            break
+        fits = F.coalesce(F.col("size") <= F.col("gap"), F.lit(False))
+        tried = running(open_.join(gaps(again), "pattern", "left"), F.when(fits, F.col("size")).otherwise(0))
+        tried = written(tried.withColumn("hit", fits & (F.col("at") + F.col("size") <= F.col("gap"))), "tried")
+        hits = tried.where("hit")
+        parts.append(hits.select("row", (F.col("gap") - F.col("at")).alias("from_end")))
+        for r in hits.groupBy("pattern").agg(F.sum("size").alias("size")).collect():
+            left[r.pattern] -= r.size
+        open_ = tried.where("NOT hit").drop("gap", "at", "hit")
+
+    # One row per size up to the rest of a pattern, however many documents there are.
+    sizes = fit.groupBy("pattern", "gap", "size").agg(F.count(F.lit(1)).alias("n")).groupBy("pattern", "gap")
+    sizes = sizes.agg(F.sort_array(F.collect_list(F.struct("size", "n")), asc=False).alias("c"))
+    fill = F.aggregate(
+        "c",
+        F.struct(F.col("gap").alias("left"), F.array().cast("array<struct<size: bigint, take: bigint>>").alias("takes")),
+        lambda acc, x: F.when(
+            x["size"] <= acc["left"],
+            F.struct(
+                (acc["left"] - x["size"] * F.least(x["n"], F.floor(acc["left"] / x["size"]))).alias("left"),
+                F.concat(
+                    acc["takes"],
+                    F.array(F.struct(x["size"].alias("size"), F.least(x["n"], F.floor(acc["left"] / x["size"])).alias("take"))),
+                ).alias("takes"),
+            ),
+        ).otherwise(acc),
+    )
+    takes = []
+    rest = dict(left)
+    for r in sizes.select("pattern", fill.alias("fill")).collect():
+        rest[r.pattern] = r.fill.left
+        takes += [(r.pattern, t.size, t.take) for t in r.fill.takes]
+    takes = F.broadcast(fixed_table(spark, takes, "pattern string,size bigint,take bigint"))
+    same = open_.join(takes, ["pattern", "size"])
+    counts = same.groupBy("pattern", "size", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("pattern", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("pattern", "size", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    nth = F.row_number().over(Window.partitionBy("pattern", "size", "bucket").orderBy(*ORDER))
+    same = same.join(counts, ["pattern", "size", "bucket"]).withColumn("nth", F.col("before") + nth)
+    picked = written(same.where("nth <= take").join(gaps(left), "pattern").select("row", F.col("gap").alias("from_end")), "picked")
+    parts.append(picked)
+
+    # At most as many rows as the rest, that is less than FEW mean documents, has words.
+    others = open_.join(F.broadcast(picked.select("row")), "row", "left_anti")
+    ends = F.broadcast(fixed_table(spark, sorted(rest.items()), kind))
+    over = others.join(ends, "pattern").where((F.col("size") > F.col("gap")) & (F.col("size") < 2 * F.col("gap")))
+    over = over.groupBy("pattern", "gap").agg(F.min(F.struct("size", "place", "row")).alias("x"))
+    parts.append(over.select(F.col("x.row").alias("row"), F.col("gap").alias("from_end")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def mix(
     docs: DataFrame,
     weights: list[float],
@@ -135,7 +220,7 @@ def mix(
     `source_size` and `target` are those of the document's first source; `row` names a key to carry along.
 
     Documents are whole: a pattern's documents stand in a seeded order that depends on doc_id and text
-    only, those before the cut get one copy more, and of the next ones the largest that fit fill what is left. A
+    only, those before the cut get one copy more, and all the next ones are gone through to fill what is left. A
     missing text has size 0, and documents of size 0 take part in whole passes. Repeated rows count each. No rows give
     no rows.
     """
@@ -190,40 +275,20 @@ def mix(
     rows = rows.drop("sources").join(F.broadcast(plan), "pattern")
     share = (F.shiftrightunsigned("place", 11)).cast("double") / float(1 << 53)
     rows = written(rows.withColumn("bucket", F.floor(share * F.col("buckets"))), "ordered")
-    order = ["place", "size", "row"]
-    totals = rows.groupBy("pattern", "bucket").agg(F.sum("size").alias("total"))
-    earlier = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select("pattern", "bucket", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("pattern", "bucket").orderBy("share", *order).rowsBetween(Window.unboundedPreceding, -1)
-    # A bucket row stands for about BUCKET_ROWS documents.
-    placed = rows.withColumn("share", share).join(before, ["pattern", "bucket"])
-    placed = placed.withColumn("at", F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    placed = written(placed.drop("before", "buckets"), "placed")
+    placed = running(rows.withColumn("share", share), F.col("size"))
+    placed = written(placed.drop("buckets"), "placed")
 
     fits = (F.col("at") + F.col("size") <= F.col("rest")) & (F.col("rest") > 0)
-    taken = placed.where(fits).groupBy("pattern").agg(F.max(F.col("at") + F.col("size")).alias("reached"))
-    after = Window.partitionBy("pattern").orderBy("at", "share", *order)
-    nexts = placed.where(~fits & (F.col("rest") > 0) & (F.col("size") > 0))
-    nexts = nexts.withColumn("nth", F.row_number().over(after)).where(F.col("nth") <= FILLERS)
-    nexts = nexts.groupBy("pattern", "rest").agg(F.array_sort(F.collect_list(F.struct((-F.col("size")).alias("back"), "nth", "size", "row"))).alias("c"))
-    fill = F.aggregate(
-        "c",
-        F.struct((F.col("rest") - F.coalesce("reached", F.lit(0))).alias("left"), F.array().cast("array<bigint>").alias("rows")),
-        lambda acc, x: F.when(
-            x["size"] <= acc["left"],
-            F.struct((acc["left"] - x["size"]).alias("left"), F.concat(acc["rows"], F.array(x["row"])).alias("rows")),
-        ).otherwise(acc),
-    )
-    filled = nexts.join(taken, "pattern", "left").select("c", fill.alias("fill"))
-    # One document more where that comes nearer to the quota than leaving the rest open.
-    open_ = F.filter("c", lambda x: ~F.array_contains(F.col("fill.rows"), x["row"]))
-    over = F.array_min(F.transform(open_, lambda x: F.struct((x["size"] - F.col("fill.left")).alias("over"), x["row"].alias("row"))))
-    last = F.when(over["over"] < F.col("fill.left"), F.array(over["row"])).otherwise(F.array().cast("array<bigint>"))
-    # At most FILLERS rows per pattern.
-    fillers = filled.select(F.explode(F.concat("fill.rows", last)).alias("row"), F.lit(True).alias("extra"))
-    out = placed.join(F.broadcast(fillers), "row", "left")
-    out = out.withColumn("copies", F.col("whole") + F.when(fits | F.col("extra"), 1).otherwise(0))
-    middle = lambda k: k * F.col("capacity") + F.col("at") + F.col("size") / 2
+    reached = F.coalesce(F.max(F.when(fits, F.col("at") + F.col("size"))), F.lit(0))
+    left = placed.where("rest > 0").groupBy("pattern", "rest").agg((F.col("rest") - reached).alias("left")).collect()
+    open_ = placed.where(~fits & (F.col("rest") > 0) & (F.col("size") > 0)).select("pattern", "bucket", "share", "place", "size", "row")
+    extra = written(fillers(open_, {r.pattern: r.left for r in left}), "fillers")
+    out = placed.join(F.broadcast(extra) if is_small(extra) else extra, "row", "left")
+    extra_at = F.col("rest") - F.col("from_end")
+    out = out.withColumn("copies", F.col("whole") + F.when(fits | extra_at.isNotNull(), 1).otherwise(0))
+    # A filler's last copy stands where it fills the quota.
+    at = lambda k: F.when(k >= F.col("whole"), F.coalesce(extra_at, F.col("at"))).otherwise(F.col("at"))
+    middle = lambda k: k * F.col("capacity") + at(k) + F.col("size") / 2
     routed = F.transform(
         F.sequence(F.lit(1), F.col("copies")),
         lambda k: F.coalesce(

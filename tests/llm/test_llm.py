@@ -239,6 +239,35 @@ def test_mix_comes_near_its_targets(spark, documents, messy, nothing):
 # 5 URL filter
 
 
+@pytest.mark.parametrize("seed", [4, 17])
+def test_mix_goes_on_behind_a_huge_document(spark, seed):
+    # A document larger than the quota, and many small ones that fill it wherever the large one stands.
+    rows = [(0, "w " * 50_000, "a")] + [(i, "w " * (5 + i % 17), "a") for i in range(1, 3_001)]
+    rows += [(5_000 + i, "w " * 9, "b") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+    for amount in (0.3, 0.4):
+        got = mixing.mix(docs, [1, 0], amount, passes=1, seed=seed).collect()
+        taken = sum(r.taken for r in got)
+        want = {r.target for r in got if r.doc_id < 5_000}.pop()
+        assert abs(taken - int(want)) <= 2 and all(r.copies <= 1 for r in got)
+        assert all(r.routed == ["a"] * r.copies for r in got)
+
+
+def test_fillers_leave_nothing_that_fits(spark):
+    rng = np.random.default_rng(2)
+    rows = [(p, int(b), float(b) / 10, i, int(s), i) for i, (p, b, s) in enumerate(zip("xyz" * 300, rng.integers(0, 10, 900), rng.integers(1, 400, 900), strict=True))]
+    open_ = spark.createDataFrame(rows, "pattern string, bucket bigint, share double, place bigint, size bigint, row bigint")
+    left = {"x": 9_000, "y": 37, "z": 0}
+    got = mixing.fillers(open_, left).collect()
+    assert len({r.row for r in got}) == len(got)
+    for p, want in left.items():
+        sizes = [rows[r.row][4] for r in got if rows[r.row][0] == p]
+        others = [r[4] for r in rows if r[0] == p and r[5] not in {g.row for g in got}]
+        short = want - sum(sizes)
+        # Nearer than with any document more or, if it goes beyond, without the last one.
+        assert all(abs(short - s) >= abs(short) for s in others) and (short >= 0 or any(short + s > -short for s in sizes))
+
+
 def test_url_filter_judges_by_the_entry_in_force(spark):
     at = lambda s: datetime.fromisoformat(s)
     entries = [
