@@ -25,13 +25,17 @@ IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
 ISO_DATE = r"\d{4}-\d{2}-\d{2}"
 DOT_DATE = r"\d{2}\.\d{2}\.\d{4}"
 SLASH_DATE = r"\d{2}/\d{2}/\d{4}"
+# Days and months of one digit too.
+WIDE_ISO, WIDE_DOT, WIDE_SLASH = r"\d{4}-\d{1,2}-\d{1,2}", r"\d{1,2}\.\d{1,2}\.\d{4}", r"\d{1,2}/\d{1,2}/\d{4}"
 IP = r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
 SSN = r"\d{3}-\d{2}-\d{4}"
-PHONE = r"(?:\+1[ .\-]?)?\([2-9]\d{2}\) ?[2-9]\d{2}[ .\-]\d{4}|(?:\+1[ .\-])?[2-9]\d{2}[.\-][2-9]\d{2}[.\-]\d{4}"
+PHONE = r"\+1[ .\-]?(?:\(\d{3}\)|\d{3})[ .\-]?\d{3}[ .\-]?\d{4}|\(\d{3}\) ?\d{3}[ .\-]\d{4}|[2-9]\d{2}[.\-][2-9]\d{2}[.\-]\d{4}"
 WORLD_PHONE = r"\+[2-9]\d{0,2}(?:[ .\-]?\(?\d{1,4}\)?){2,5}"
 CARD = r"\d(?:[ \-]?\d){12,18}"
 _EDGE, _END = r"(?<![\p{L}\p{N}_])(?<!\d[.\-/])", r"(?![\p{L}\p{N}_])(?![.\-/]\d)"
-_ANY = f"{EMAIL}|{_EDGE}(?:{IBAN}|{PHONE}|{WORLD_PHONE}|{ISO_DATE}|{DOT_DATE}|{SLASH_DATE}|{IP}|{SSN}|{CARD}){_END}"
+_ANY = f"{EMAIL}|{_EDGE}(?:{IBAN}|{PHONE}|{WORLD_PHONE}|{WIDE_ISO}|{WIDE_DOT}|{WIDE_SLASH}|{IP}|{SSN}|{CARD}){_END}"
+# A day in front of a time of day.
+_ANY += rf"|{_EDGE}{ISO_DATE}(?=T\d{{2}})"
 # Tells texts that hold none of these at little cost.
 _HINT = r"\d{2}|\d\.\d|@[A-Za-z0-9]"
 
@@ -42,7 +46,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def feistel(symbols: Column, radices: Column, key: str, kind: Column) -> Column:
-    """Permute an array of symbols, each below its radix. One symbol alone is left as it is."""
+    """Permute an array of symbols, each below its radix. One symbol alone is shifted by a step that is never 0."""
     n = F.size(symbols)
     cut = F.floor(n / 2).cast("int")
     halves = lambda x: F.array(F.slice(x, F.lit(1), cut), F.slice(x, cut + 1, n - cut))
@@ -69,7 +73,9 @@ def feistel(symbols: Column, radices: Column, key: str, kind: Column) -> Column:
     start = F.concat(halves(symbols), halves(radices))
     # After an even number of rounds the halves are back in their places.
     mixed = F.aggregate(rounds, start, one, lambda s: F.concat(F.get(s, F.lit(0)), F.get(s, F.lit(1))))
-    return F.when(n < 2, symbols).otherwise(mixed)
+    step = lambda radix: 1 + F.conv(F.left(F.sha2(F.concat_ws("|", F.lit(key), kind, n, radix), 256), F.lit(7)), 16, 10).cast("int") % (radix - 1)
+    alone = F.zip_with(symbols, radices, lambda x, radix: (x + step(radix)) % radix)
+    return F.when(n < 2, alone).otherwise(mixed)
 
 
 def _digits(text: Column) -> Column:
@@ -119,6 +125,7 @@ def _days(value: Column, pattern: str) -> Column:
 
 
 _DATES = ((ISO_DATE, "yyyy-MM-dd"), (DOT_DATE, "dd.MM.yyyy"), (SLASH_DATE, "MM/dd/yyyy"), (SLASH_DATE, "dd/MM/yyyy"))
+_DATES += ((WIDE_ISO, "yyyy-M-d"), (WIDE_DOT, "d.M.yyyy"), (WIDE_SLASH, "M/d/yyyy"), (WIDE_SLASH, "d/M/yyyy"))
 
 
 def kind_of(value: Column) -> Column:
@@ -167,28 +174,30 @@ def permuted(value: Column, kind: Column, key: str) -> Column:
 
     Digits become digits and letters letters of their case; separators, an e-mail address's domain, a card's first
     digit, an IBAN's and a phone number's country stay; check digits are made anew; area and exchange codes
-    begin with 2 to 9; an address part is below 256; a day becomes a day of the same 400 years.
+    begin with 2 to 9, or with 0 or 1 where they did; an address part is below 256; a day becomes a day of the
+    same 400 years, and may have another number of digits where it is written without zeros.
     """
     days = F.coalesce(*[F.when(kind == f"date{i}", _days(F.when(kind == f"date{i}", value), p)) for i, (_, p) in enumerate(_DATES)])
     big, small = _DAY_RADICES
     characters = F.split(_moving(value, kind), "")
-    code = lambda j: (kind == "phone") & ((j == 0) | (j == 3))
+    code = lambda c, j: (kind == "phone") & ((j == 0) | (j == 3)) & (c >= "2")
+    no_code = lambda c, j: (kind == "phone") & ((j == 0) | (j == 3)) & (c < "2")
     symbols = (
         F.when(kind.startswith("date"), let(days, lambda d: F.array(F.floor(d / small).cast("int"), (d % small).cast("int"))))
         .when(kind == "ip", F.transform(F.split(value, r"\."), lambda x: x.cast("int")))
-        .otherwise(F.transform(characters, lambda c, j: F.ascii(c) - _lowest(c) - F.when(code(j), 2).otherwise(0)))
+        .otherwise(F.transform(characters, lambda c, j: F.ascii(c) - _lowest(c) - F.when(code(c, j), 2).otherwise(0)))
     )
     radices = (
         F.when(kind.startswith("date"), F.array(F.lit(big), F.lit(small)))
         .when(kind == "ip", F.array(*[F.lit(256)] * 4))
-        .otherwise(F.transform(characters, lambda c, j: F.when(c <= "9", F.when(code(j), 8).otherwise(10)).otherwise(26)))
+        .otherwise(F.transform(characters, lambda c, j: F.when(c <= "9", F.when(code(c, j), 8).when(no_code(c, j), 2).otherwise(10)).otherwise(26)))
     )
     domain = F.regexp_replace(kind, "[0-9]", "")
     moved = let(symbols, lambda s: let(radices, lambda r: feistel(s, r, key, domain)))
 
     def rebuilt(m: Column) -> Column:
         texts = F.zip_with(
-            F.transform(m, lambda x, j: x + F.when(code(j), 2).otherwise(0)), characters, lambda x, c: F.char(x + _lowest(c))
+            F.transform(m, lambda x, j: x + F.when(code(F.get(characters, j), j), 2).otherwise(0)), characters, lambda x, c: F.char(x + _lowest(c))
         )
         day = F.date_add(F.lit(_FIRST_DAY).cast("date"), F.get(m, F.lit(0)) * small + F.get(m, F.lit(1)))
         digits, plain = _digits(value), F.replace(value, F.lit(" "), F.lit(""))

@@ -154,6 +154,23 @@ def test_pseudonyms_keep_format_and_links(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_pseudonyms_of_odd_shapes(spark):
+    phones = ["+1 (017) 555-7713", "+1 (132) 555-1352", "+1 212 055 1234", "+12125550199", "(117) 555-7713"]
+    dates = {"3.4.2024": "%d.%m.%Y", "4/3/2024": "%m/%d/%Y", "2024-4-3": "%Y-%m-%d"}
+    values = [*phones, *dates, "a@b.org", "7@b.org"]
+    rows = [(i, f"start {v} end") for i, v in enumerate(values)] + [(50, "at 2024-04-03T10:00:00Z"), (51, "at 2024-04-03")]
+    out = {r.doc_id: r for r in pseudonyms.pseudonymised(spark.createDataFrame(rows, "doc_id bigint, text string"), "k").collect()}
+    assert all(r.n_found == r.n_replaced == 1 for r in out.values())
+    got = {v: out[i].text[6:-4] for i, v in enumerate(values)}
+    assert all(re.sub(r"\d", "9", got[v]) == re.sub(r"\d", "9", v) and got[v][:2] == v[:2] or v[0] == "(" for v in phones)
+    # Codes of either sort stay what they are, so no two numbers meet.
+    assert got[phones[0]][4] in "01" and got[phones[1]][4] in "01" and got[phones[2]][3] in "23456789" and got[phones[2]][7] in "01"
+    days = {datetime.strptime(got[v], f) for v, f in dates.items()} | {datetime.strptime(out[51].text[3:], "%Y-%m-%d")}
+    assert len(days) == 1 and out[50].text == out[51].text + "T10:00:00Z"
+    letters = spark.createDataFrame([(i, f"{c}@b.org") for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")], "doc_id bigint, text string")
+    assert {r.text[0] for r in pseudonyms.pseudonymised(letters, "k").collect()} == set("abcdefghijklmnopqrstuvwxyz")
+
+
 def test_feistel_is_a_permutation(spark):
     df = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("v"))
     symbols = F.transform(F.split("v", ""), lambda c: c.cast("int"))
