@@ -1,8 +1,10 @@
 """Line de-duplication by pairwise alignment.
 
 Every line with enough words that occurs in more than one document points to the first document that has
-it. So a document is paired with those earlier ones that own its shared lines: one pair at most per line
-it has, however common the line, and copies of one text all pair with the first copy. Each pair is aligned by
+it. So does every shorter line together with the lines up to the next longer one on either side, because it
+is common to two documents only in a block that holds these. So a document is paired with those earlier ones
+that own its shared lines and runs: two pairs at most per line it has, however common the line, and copies of
+one text all pair with the first copy. Each pair is aligned by
 patience diff, and the aligned blocks are deleted from the later document.
 """
 
@@ -33,16 +35,34 @@ def line_hash(line: str, least: int = LEAST_WORDS) -> int:
     return value | 1 if len(words) >= least else value & ~1
 
 
+def runs_of(lines: list[int]) -> set[int]:
+    """Hashes of the runs from each short line to the nearest line of enough words before it, and behind it."""
+    out = set()
+    for side, stretch in enumerate((lines, lines[::-1])):
+        run = None
+        for x in stretch:
+            if x & 1:
+                run = x
+            elif run is not None:
+                # The hash of a tuple of numbers is the same in every process.
+                run = hash((side, run, x))
+                out.add(run)
+    return out
+
+
 def hashed_lines(rows: DataFrame, least: int) -> DataFrame:
-    """(row, doc_id, lines) of keyed documents: the hash of every line."""
+    """(row, doc_id, lines, runs) of keyed documents: the hash of every line, and those of `runs_of`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [[line_hash(x, least) for x in t.as_py().split("\n")] for t in batch.column("text")]
             lists = pa.array(found, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), lists], ["row", "doc_id", "lines"])
+            runs = pa.array([list(runs_of(x)) for x in found], pa.list_(pa.int64()))
+            columns = [batch.column("row"), batch.column("doc_id"), lists, runs]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "lines", "runs"])
 
-    return rows.select("row", "doc_id", "text").mapInArrow(run, "row bigint, doc_id bigint, lines array<bigint>")
+    schema = "row bigint, doc_id bigint, lines array<bigint>, runs array<bigint>"
+    return rows.select("row", "doc_id", "text").mapInArrow(run, schema)
 
 
 def _unique(lines: list[int], a: int, b: int) -> dict[int, int]:
@@ -136,12 +156,13 @@ def common_positions(later: list[int], earlier: list[int]) -> list[int]:
 
 
 def overlapping_pairs(lines: DataFrame) -> DataFrame:
-    """(place, first): each document with the earlier documents that were the first to hold one of its lines.
+    """(place, first): each document with the earlier documents that were the first to hold one of its lines or runs.
 
-    `lines`: (place, lines) with `place` the document's number in order. The holders are found by
+    `lines`: (place, lines, runs) with `place` the document's number in order. The holders are found by
     counting before any join, and only lines in two documents or more are joined.
     """
-    held = lines.select("place", F.explode(F.array_distinct(F.filter("lines", lambda x: x % 2 == 1))).alias("line"))
+    held = F.array_distinct(F.concat(F.filter("lines", lambda x: x % 2 == 1), "runs"))
+    held = lines.select("place", F.explode(held).alias("line"))
     shared = held.groupBy("line").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = written(shared.drop("n"), "shared")
     return held.join(shared, "line").where("first < place").select("place", "first").distinct()
@@ -169,7 +190,7 @@ def deletions(rows: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """(row, places, partners): line positions to delete from keyed documents, and the doc_ids they align with."""
     lines = written(hashed_lines(rows, least), "lines")
     placed = written(lines.join(written(places_in_order(lines), "order"), "row"), "placed")
-    pairs = written(overlapping_pairs(placed.select("place", "lines")), "pairs")
+    pairs = written(overlapping_pairs(placed.select("place", "lines", "runs")), "pairs")
     later = placed.select("place", "row", F.col("lines").alias("later"))
     earlier = placed.select(F.col("place").alias("first"), F.col("doc_id").alias("partner"), F.col("lines").alias("earlier"))
     both = pairs.join(earlier, "first").join(later, "place").select("row", "partner", "later", "earlier")
@@ -186,7 +207,7 @@ def deletions(rows: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays, ["row", "partner", "places"])
 
     found = both.mapInArrow(run, "row bigint, partner bigint, places array<int>").where(F.size("places") > 0)
-    # A document has one partner at most per line of its own.
+    # A document has two partners at most per line of its own.
     return found.groupBy("row").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"),
         F.array_sort(F.collect_set("partner")).alias("partners"),
@@ -204,7 +225,8 @@ def without_common_blocks(docs: DataFrame, least: int = LEAST_WORDS) -> DataFram
     """
     rows = keyed(docs, "texts")
     gone = written(deletions(rows, least), "deletions")
-    joined = rows.join(gone, "row", "left").select("doc_id", "text", "places", "partners")
+    # One plan at every size: row is a key, so nothing is skewed.
+    joined = rows.join(gone.hint("merge"), "row", "left").select("doc_id", "text", "places", "partners")
     names = ["doc_id", "text", "n_lines", "n_deleted", "partners"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -345,6 +345,16 @@ def test_line_dedup_leaves_no_repeated_line(documents, messy, nothing):
     assert line_dedup.without_common_blocks(nothing).count() == 0
 
 
+def test_line_dedup_of_short_lines_between_others_lines(spark):
+    one, two = "the first line that has enough words", "the second line that has enough words"
+    block = f"{one}\nshort\n\nshorter\nand so\n{two}"
+    rows = [(1, f"{one}\nA"), (2, f"B\n{two}"), (3, f"start B\n{block}\nend B"), (4, f"start C\n{block}\nend C"), (5, "short\nshorter\nand so")]
+    got = {r.doc_id: r for r in line_dedup.without_common_blocks(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[3].text == "start B\nshort\n\nshorter\nand so\nend B" and got[3].partners == [1, 2]
+    assert got[4].text == "start C\nend C" and 3 in got[4].partners
+    assert [got[i].n_deleted for i in (1, 2, 5)] == [0, 0, 0]
+
+
 # 7 I-Match
 
 
