@@ -12,6 +12,7 @@ from murmuro.llm import (
     imatch,
     jaccard_join,
     line_dedup,
+    merkle,
     mixing,
     pseudonyms,
     style_tree,
@@ -100,6 +101,14 @@ def op10_style_tree(spark: SparkSession, folder: str) -> DataFrame:
     return style_tree.main_text(table(spark, folder, "pages"))
 
 
+@query
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(table(spark, folder, "documents"))
+
+
+SQL["op11_merkle"] = merkle.SQL
+
+
 # Stages of the pipeline: (spark, documents, folder) to documents.
 
 
