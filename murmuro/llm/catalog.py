@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from murmuro.llm import (
     decontaminate,
+    hyperminhash,
     imatch,
     jaccard_join,
     line_dedup,
@@ -109,6 +110,11 @@ def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
 SQL["op11_merkle"] = merkle.SQL
 
 
+@query
+def op12_hyperminhash(spark: SparkSession, folder: str) -> DataFrame:
+    return hyperminhash.near_duplicates(table(spark, folder, "documents"))
+
+
 # Stages of the pipeline: (spark, documents, folder) to documents.
 
 
