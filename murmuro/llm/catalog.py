@@ -17,6 +17,7 @@ from murmuro.llm import (
     mixing,
     pseudonyms,
     style_tree,
+    token_alignment,
     token_files,
     toxicity,
     url_filter,
@@ -115,6 +116,14 @@ def op12_hyperminhash(spark: SparkSession, folder: str) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    files = [public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return token_alignment.alignment(table(spark, folder, "documents"), *files)
+
+
 # Stages of the pipeline: (spark, documents, folder) to documents.
 
 
