@@ -20,7 +20,14 @@ ROUNDS = 10
 _FIRST_DAY, _DAY_RADICES = "1800-01-01", (189, 773)
 
 # Formats in order of precedence. Digits and letters around a value rule it out.
-EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+\-]*@[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"
+# A name is all that can be one in front of the @, at most 254 characters with a letter or digit; a domain has at most
+# 128 labels. Looking for one only where such a run begins (or the last match ended), possessively, keeps the search
+# linear in the text, and the bounded repeat keeps it off the stack.
+_NAME = r"[A-Za-z0-9._%+\-]"
+EMAIL = (
+    rf"(?:(?<!{_NAME})|\G)[._%+\-]*+[A-Za-z0-9]{_NAME}{{0,253}}+@"
+    r"[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9\-]++){0,126}\.[A-Za-z]{2,}"
+)
 IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
 ISO_DATE = r"\d{4}-\d{2}-\d{2}"
 DOT_DATE = r"\d{2}\.\d{2}\.\d{4}"
