@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +17,8 @@ BROADCAST_ROWS = 200_000
 SALTS = 32
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+# Lists that the folders of written tables are noted in, see `recorded`.
+_RECORDS: list[list[str]] = []
 
 
 def session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -56,10 +60,37 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/murmuro/{uuid.uuid4().hex}/{label}"
+    for record in _RECORDS:
+        record.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """Notes the folder of every table that is `written` inside the block, so that it can be removed later."""
+    paths: list[str] = []
+    _RECORDS.append(paths)
+    try:
+        yield paths
+    finally:
+        _RECORDS[:] = [r for r in _RECORDS if r is not paths]
+
+
+def remove_folders(spark: SparkSession, paths: list[str], reader: DataFrame | None = None) -> list[str]:
+    """Delete folders of written tables, but for those that `reader` still reads; these are returned."""
+    read = reader.inputFiles() if reader is not None else []
+    kept = []
+    for path in paths:
+        # The folder above the label has a name of its own.
+        if any(path.split("/")[-2] in file for file in read):
+            kept.append(path)
+            continue
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return kept
+
+
 def fixed_table(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
     """A small table of constants, e.g. `fixed_table(spark, [("the",)], "word string")`."""
     schema = _arrow_schema(columns)
