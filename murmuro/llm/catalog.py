@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from murmuro.llm import (
     toxicity,
     url_filter,
 )
+from murmuro.runtime import recorded, remove_folders
 from murmuro.sources.bind import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,23 +128,55 @@ def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
 
 # Stages of the pipeline: (spark, documents, folder) to documents.
 
+# Folders that the last stage of a session wrote on its way.
+_WRITTEN: dict[str, list[str]] = {}
 
+
+def forget_stage(spark: SparkSession, docs: DataFrame) -> None:
+    """Remove what the last stage wrote on its way, but for tables that `docs` still reads."""
+    app = spark.sparkContext.applicationId
+    _WRITTEN[app] = remove_folders(spark, _WRITTEN.get(app, []), docs)
+
+
+def stage(f):
+    """A stage's result is lazy and reads tables the stage has written, so they go when the next stage begins.
+
+    By then the result has been written and read back, which is how stages are chained. A result that is
+    handed on as it is keeps its tables.
+    """
+
+    @wraps(f)
+    def run(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+        forget_stage(spark, docs)
+        with recorded() as paths:
+            out = f(spark, docs, folder)
+        _WRITTEN.setdefault(spark.sparkContext.applicationId, []).extend(paths)
+        return out
+
+    return run
+
+
+@stage
 def keep_civil(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return toxicity.accepted(docs, toxicity.train(docs, table(spark, folder, "labels")))
 
 
+@stage
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return jaccard_join.one_of_each(docs)
 
 
+@stage
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return decontaminate.clean_documents(docs, table(spark, folder, "benchmark"))
 
 
+@stage
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return mixing.mixed_documents(docs, WEIGHTS, AMOUNT)
 
 
+@stage
 def to_tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     out = token_files.token_folder(spark)
     token_files.write_tokens(docs, out, tokenizer_path(), END_ID)

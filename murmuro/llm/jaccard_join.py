@@ -368,4 +368,5 @@ def one_of_each(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     rows = stored.select(F.col(key).alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
     members = written(JaccardJoin(docs, words, similarity, stored=rows).members(), "members")
     first = members.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias(key))
-    return stored.join(written(first.select(key), "kept"), key, "left_semi").drop(key)
+    # The same plan at every size.
+    return stored.join(written(first.select(key), "kept").hint("merge"), key, "left_semi").drop(key)

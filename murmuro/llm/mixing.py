@@ -315,5 +315,7 @@ def mixed_documents(docs: DataFrame, weights: list[float], amount: float, passes
     chosen = mix(stored, weights, amount, passes, row=key).where("copies > 0").select(F.col("row").alias(key), "copies")
     chosen = written(chosen, "chosen")
     name = free_name([*docs.columns, key], "copies")
-    joined = stored.join(chosen.select(key, F.sequence(F.lit(1), F.col("copies")).alias(name)), key)
+    copies = chosen.select(key, F.sequence(F.lit(1), F.col("copies")).alias(name))
+    # The same plan at every size.
+    joined = stored.join(copies.hint("merge"), key)
     return joined.withColumn(name, F.explode(name)).drop(key, name)
