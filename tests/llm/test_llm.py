@@ -6,6 +6,7 @@ import hashlib
 import html
 import itertools
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from datetime import datetime
@@ -73,6 +74,23 @@ def texts_of(df):
     return {r.doc_id: r.text or "" for r in df.collect()}
 
 
+@pytest.mark.parametrize("text", ["ab1" * 350_000, "a@b" + ".c" * 500_000, "7" * 1_000_000, "1." * 500_000, "." * 1_000_000, "x@" * 500_000])
+def test_pseudonyms_of_a_long_run_take_seconds(spark, text):
+    start = time.monotonic()
+    df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    assert pseudonyms.pseudonymised(df, "k").collect()[0].text == text
+    assert time.monotonic() - start < 30
+
+
+def test_pseudonyms_of_names_that_touch(spark):
+    texts = ["a@b.com.c@d.com", "x foo@bar@baz.com", "..ab@c.de!", "éz@q.de", "x" * 300 + "@mail.com"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_found, r.text) for r in pseudonyms.pseudonymised(df, "k").collect()}
+    assert [got[i][0] for i in range(5)] == [2, 1, 1, 1, 0]
+    assert re.fullmatch(r"\w@b\.com\.\w@d\.com", got[0][1]) and re.fullmatch(r"x foo@\w{3}@baz\.com", got[1][1])
+    assert got[2][1].startswith("..") and got[4][1] == texts[4]
+
+
 def test_pieces_keep_every_word(monkeypatch):
     monkeypatch.setattr(words, "PIECE", 10)
     text = "aa bbb\ncccccccccccccccccccccc d e ff " * 5
