@@ -5,9 +5,9 @@ an A token to the B token that holds its last byte, a B token to the A token tha
 ends later, else to itself. Doubling the pointers, for all tokens of a batch at once, brings every token to the
 last one of its component, whose end is where both tokenizers cut. That token labels the group.
 
-Neither vocabulary has a token that goes from a non-blank over a following blank, so a text falls apart at every
-single blank between two others, and equal stretches have equal tokens, groups and links. Each distinct stretch
-of a chunk of documents is encoded and aligned once. A link is counted over the whole corpus by its pair of ids:
+No token of A goes from a non-blank over a following blank or line break, nor from a letter to the stop behind it, and
+where B's vocabulary shows the same, a text falls apart in front of every single one of them: equal stretches have
+equal tokens, groups and links. Each distinct stretch of a chunk of documents is encoded and aligned once. A link is counted over the whole corpus by its pair of ids:
 chunks add up their own pairs, Spark sums them and joins the sums back per chunk and pair, so what is shuffled
 grows with the distinct pairs of chunks and no task holds more than a chunk.
 """
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -29,14 +30,12 @@ from pyspark.sql import functions as F
 from murmuro.runtime import written
 
 # Characters of text, at about which a chunk of documents ends. A longer document is a chunk of its own.
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 # Distinct stretches that a worker remembers from chunk to chunk; beyond that it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 # Stretches encoded at a time.
 AT_ONCE = 20_000
 
-# Python's \s holds all that A's own rule takes for a blank.
-_CUT = re.compile(r"(?<=\S) (?=\S)")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
 _SCHEMA = (
@@ -64,80 +63,107 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_file)
         of = _byte_level()
-        self.a_bytes: dict[int, bytes] = {}
-        for token, i in self.a.get_vocab(with_added_tokens=True).items():
-            self.a_bytes[i] = bytes(of[c] for c in token) if all(c in of for c in token) else token.encode()
-        self.b_bytes = [self._piece(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
+        a_bytes = {i: bytes(of[c] for c in t) if all(c in of for c in t) else t.encode() for t, i in self.a.get_vocab(with_added_tokens=True).items()}
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.b_bytes = [_piece_bytes(p) for p in pieces]
+        self.a_length = np.asarray([len(a_bytes.get(i, b"")) for i in range(max(a_bytes) + 1)], np.int64)
+        self.b_length = np.asarray([len(p) for p in self.b_bytes], np.int64)
+        self.names = [str(i) for i in range(max(len(self.a_length), len(self.b_length)))]
+        self.blank, self.line = pieces.index("▁"), self.b.encode("\n")[-1:]
+        # A stretch may begin wherever no piece goes over its beginning.
+        cuts = [r"(?<=\S)(?= \S)"]
+        if not any("\n" in p for p in pieces) and self.b.encode("\n") == [self.blank, *self.line]:
+            cuts.append(r"(?<=\S)(?=\n\S)")
+            if not any(re.search(r"[A-Za-z][.,;:!?]", p) for p in pieces):
+                cuts.append(r"(?<=[A-Za-z])(?=[.,;:!?](?:[ \n]|\Z))")
+        self.cut = re.compile("|".join(cuts))
         self.known: dict[str, int] = {}
         self._forget()
 
-    @staticmethod
-    def _piece(piece: str) -> bytes:
-        byte = _BYTE.fullmatch(piece)
-        return bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode()
-
     def _forget(self) -> None:
         self.known.clear()
         self.groups: list[str] = []
-        # Per stretch: A tokens, B tokens, groups; -1 where the bytes differ from the text's.
-        self.counts: list[tuple[int, int, int]] = []
-        self.links: list[np.ndarray] = []
+        # Per stretch: A tokens, B tokens, groups, one after the other; -1 where the bytes differ from the text's.
+        self.counts = array("q")
+        # The links of all stretches, and where those of each end.
+        self.links, self.ends = array("q"), array("q", [0])
+
+    def _pieces(self, stretches: list[str]) -> list[list[int]]:
+        """B's ids of stretches of a text: it puts a blank in front, which only those that begin with one keep."""
+        asked = [s[1:] if s[0] == " " else s if s[0] == "\n" else f"\n{s}" for s in stretches]
+        out = self.b.encode(asked, num_threads=1)
+        for i, s in enumerate(stretches):
+            if s[0] != " ":
+                out[i] = out[i][1 if s[0] == "\n" else 2 :]
+        return out
 
     def _learn(self, stretches: list[str]) -> None:
-        """Encode and align stretches that are not known yet; `stretches` have no leading blank of their own."""
-        a_ids = [e.ids for e in self.a.encode_batch([" " + s for s in stretches], add_special_tokens=False)]
-        b_ids = self.b.encode(stretches, num_threads=1)
-        for i, s in enumerate(stretches):
-            text = b" " + s.encode()
-            if b"".join([self.a_bytes[t] for t in a_ids[i]]) != text or b"".join([self.b_bytes[t] for t in b_ids[i]]) != text:
-                a_ids[i] = b_ids[i] = None
-        good = [i for i, ids in enumerate(a_ids) if ids is not None]
-        a_size = np.asarray([len(a_ids[i]) for i in good], np.int64)
-        b_size = np.asarray([len(b_ids[i]) for i in good], np.int64)
-        a = np.fromiter(chain.from_iterable(a_ids[i] for i in good), np.int64, a_size.sum())
-        b = np.fromiter(chain.from_iterable(b_ids[i] for i in good), np.int64, b_size.sum())
-        a_end = np.cumsum(np.fromiter((len(self.a_bytes[t]) for t in a.tolist()), np.int64, len(a)))
-        b_end = np.cumsum(np.fromiter((len(self.b_bytes[t]) for t in b.tolist()), np.int64, len(b)))
+        """Encode and align stretches that are not known yet, each with the blank it begins with."""
+        a_ids = [e.ids for e in self.a.encode_batch_fast(stretches, add_special_tokens=False)]
+        b_ids = self._pieces(stretches)
+        spelled = self.b_bytes
+        right = [b"".join([spelled[t] for t in ids]) == s.encode() for ids, s in zip(b_ids, stretches, strict=True)]
+        good = [i for i, ok in enumerate(right) if ok]
+        if len(good) < len(stretches):
+            a_ids, b_ids = [a_ids[i] for i in good], [b_ids[i] for i in good]
+        a_size, b_size = (np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (a_ids, b_ids))
+        a = np.fromiter(chain.from_iterable(a_ids), np.int64, a_size.sum())
+        b = np.fromiter(chain.from_iterable(b_ids), np.int64, b_size.sum())
+        a_end, b_end = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
         a_group, b_group, n_groups = aligned(a_end, b_end)
         # In a group the last A and the last B token end together: that pair is its link.
         a_last, b_last = (np.flatnonzero(np.diff(g, append=n_groups)) for g in (a_group, b_group))
         keys = (a[a_last] << 32) | b[b_last]
-        a_text, b_text = _joined(a, a_group), _joined(b, b_group)
-        lines = [f"{x}|{y}" for x, y in zip(a_text, b_text, strict=True)]
-        ends = np.concatenate([[0], a_group[np.cumsum(a_size) - 1] + 1]) if len(good) else np.zeros(1, np.int64)
-        for place, i in enumerate(good):
-            low, high = int(ends[place]), int(ends[place + 1])
+        lines = [f"{x}|{y}" for x, y in zip(self._joined(a, a_group), self._joined(b, b_group), strict=True)]
+        ends = a_group[np.cumsum(a_size) - 1] + 1 if len(good) else np.zeros(0, np.int64)
+        starts = np.concatenate([[0], ends])[:-1]
+        first = len(self.groups)
+        for i, low, high in zip(good, starts.tolist(), ends.tolist(), strict=True):
             self.known[stretches[i]] = len(self.groups)
-            self.groups.append(";".join(lines[low:high]))
-            self.counts.append((int(a_size[place]), int(b_size[place]), high - low))
-            self.links.append(keys[low:high])
-        for i, ids in enumerate(a_ids):
-            if ids is None:
+            self.groups.append(lines[low] if high == low + 1 else ";".join(lines[low:high]))
+        self.counts.frombytes(np.stack([a_size, b_size, ends - starts], 1).astype(np.int64).tobytes())
+        self.ends.frombytes((len(self.links) + ends).astype(np.int64).tobytes())
+        self.links.frombytes(keys.tobytes())
+        assert len(self.groups) - first == len(good)
+        for i, ok in enumerate(right):
+            if not ok:
                 self.known[stretches[i]] = len(self.groups)
                 self.groups.append("")
-                self.counts.append((-1, -1, -1))
-                self.links.append(np.empty(0, np.int64))
+                self.counts.extend((-1, -1, -1))
+                self.ends.append(len(self.links))
+
+    def _joined(self, ids: np.ndarray, group: np.ndarray) -> list[str]:
+        """The ids of each group, comma-separated."""
+        words = list(map(self.names.__getitem__, ids.tolist()))
+        starts = np.flatnonzero(np.diff(group, prepend=-1)).tolist()
+        return [words[s] if e - s == 1 else ",".join(words[s:e]) for s, e in zip(starts, [*starts[1:], len(words)], strict=True)]
 
-    def chunk(self, texts: list[str | None]) -> tuple[list[list[int]], list[int]]:
-        """(items of each text, the stretch of each item): a text without tokens, or whose bytes differ, has none.
+    def chunk(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(stretches of all texts one after the other, number of stretches of each).
 
-        Stretches of the chunk are numbered from 0; the second list leads to what is remembered about them.
+        Numbers lead to what is remembered. A text without tokens, or whose bytes differ, has no stretches.
         """
         if len(self.known) > REMEMBERED:
             self._forget()
-        cut = [_CUT.split(t) if t else [] for t in texts]
-        new = [s for s in dict.fromkeys(chain.from_iterable(cut)) if s not in self.known]
+        cut = [self.cut.split(f" {t}") if t else [] for t in texts]
+        known = self.known
+        new = list(set(chain.from_iterable(cut)).difference(known))
         for at in range(0, len(new), AT_ONCE):
             self._learn(new[at : at + AT_ONCE])
-        known, counts = self.known, self.counts
-        numbers: dict[int, int] = {}
-        out = []
-        for stretches in cut:
-            found = [known[s] for s in stretches]
-            if any(counts[k][0] < 0 for k in found):
-                found = []
-            out.append([numbers.setdefault(k, len(numbers)) for k in found])
-        return out, list(numbers)
+        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+        found = np.fromiter(map(known.__getitem__, chain.from_iterable(cut)), np.int64, sizes.sum())
+        bad = np.frombuffer(self.counts, np.int64).reshape(-1, 3)[found, 0] < 0
+        if bad.any():
+            owner = np.repeat(np.arange(len(cut)), sizes)
+            wrong = np.unique(owner[bad])
+            found = found[~np.isin(owner, wrong)]
+            sizes[wrong] = 0
+        return found, sizes
+
+
+def _piece_bytes(piece: str) -> bytes:
+    byte = _BYTE.fullmatch(piece)
+    return bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode()
 
 
 def aligned(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
@@ -157,13 +183,6 @@ def aligned(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return group[:n], group[n:], len(last)
 
 
-def _joined(ids: np.ndarray, group: np.ndarray) -> list[str]:
-    """The ids of each group, comma-separated."""
-    words = list(map(str, ids.tolist()))
-    starts = np.flatnonzero(np.diff(group, prepend=-1)).tolist()
-    return [words[s] if e - s == 1 else ",".join(words[s:e]) for s, e in zip(starts, [*starts[1:], len(words)], strict=True)]
-
-
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
 
@@ -175,27 +194,44 @@ def _aligner(a_file: str, b_file: str) -> Aligner:
 
 def _chunk_batch(aligner: Aligner, chunk: int, doc_ids: list, texts: list[str | None]) -> pa.RecordBatch:
     """One row per document, and a row (-1) that describes the chunk: its stretches' links as places in its pairs."""
-    items, stretches = aligner.chunk(texts)
-    links = [aligner.links[k] for k in stretches]
-    sizes = np.asarray([len(x) for x in links], np.int32)
-    pairs, places = np.unique(np.concatenate([*links, np.empty(0, np.int64)]), return_inverse=True)
-    times = np.bincount(np.fromiter(chain.from_iterable(items), np.int64), minlength=len(stretches))
-    uses = np.bincount(places, weights=np.repeat(times, sizes), minlength=len(pairs)).astype(np.int64)
-    counts = np.asarray([aligner.counts[k] for k in stretches], np.int64).reshape(-1, 3)
-    groups = [aligner.groups[k] for k in stretches]
-    rows = {name.split()[0]: [] for name in _SCHEMA.split(", ")}
-    for number, (doc_id, mine) in enumerate(zip(doc_ids, items, strict=True)):
-        n_a, n_b, n_groups = counts[mine].sum(axis=0).tolist() if mine else (0, 0, 0)
-        text = ";".join([groups[i] for i in mine])
-        sha = hashlib.sha256(text.encode()).hexdigest() if mine else ""
-        for name, value in zip(rows, (chunk, number, doc_id, n_a, n_b, n_groups, n_groups, sha, mine, None, None, None), strict=True):
-            rows[name].append(value)
-    about = (chunk, -1, None, None, None, None, None, None, places.astype(np.int32), sizes, pairs, uses)
-    for name, value in zip(rows, about, strict=True):
-        rows[name].append(value)
-    types = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "array<int>": pa.list_(pa.int32()), "array<bigint>": pa.list_(pa.int64())}
-    kinds = [types[c.split()[1]] for c in _SCHEMA.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), kinds, strict=True)], list(rows))
+    found, sizes = aligner.chunk(texts)
+    # Stretches are numbered anew inside the chunk.
+    stretches, items, times = np.unique(found, return_inverse=True, return_counts=True)
+    ends = np.frombuffer(aligner.ends, np.int64)
+    n_links = ends[stretches + 1] - ends[stretches]
+    at = np.repeat(ends[stretches + 1] - np.cumsum(n_links), n_links) + np.arange(n_links.sum())
+    pairs, places = np.unique(np.frombuffer(aligner.links, np.int64)[at], return_inverse=True)
+    uses = np.bincount(places, weights=np.repeat(times, n_links), minlength=len(pairs)).astype(np.int64)
+    counts = np.frombuffer(aligner.counts, np.int64).reshape(-1, 3)[found]
+    total = np.concatenate([np.zeros((1, 3), np.int64), np.cumsum(counts, axis=0)])
+    last = np.cumsum(sizes)
+    n_a, n_b, n_groups = (total[last] - total[last - sizes]).T
+    groups, sha = aligner.groups, []
+    mine = found.tolist()
+    for n, e in zip(sizes.tolist(), last.tolist(), strict=True):
+        sha.append(hashlib.sha256(";".join([groups[i] for i in mine[e - n : e]]).encode()).hexdigest() if n else "")
+    n = len(texts)
+
+    def of_documents(values: np.ndarray) -> pa.Array:
+        return pa.array(np.append(values, 0), pa.int64(), mask=np.arange(n + 1) == n)
+
+    def of_chunk(values: np.ndarray, kind: pa.DataType) -> pa.Array:
+        # The documents' lists are empty.
+        return pa.ListArray.from_arrays(pa.array(np.append(np.zeros(n + 1), len(values)), pa.int32()), pa.array(values, kind))
+
+    lists = pa.array(np.concatenate([[0], last, [len(items) + len(places)]]), pa.int32())
+    columns = [
+        pa.array(np.full(n + 1, chunk), pa.int64()),
+        pa.array(np.append(np.arange(n), -1), pa.int32()),
+        pa.array([*doc_ids, None], pa.int64()),
+        *(of_documents(x) for x in (n_a, n_b, n_groups, n_groups)),
+        pa.array([*sha, None], pa.string()),
+        pa.ListArray.from_arrays(lists, pa.array(np.concatenate([items, places]), pa.int32())),
+        of_chunk(n_links, pa.int32()),
+        of_chunk(pairs, pa.int64()),
+        of_chunk(uses, pa.int64()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _SCHEMA.split(", ")])
 
 
 def aligned_chunks(docs: DataFrame, a_file: str, b_file: str) -> DataFrame:
@@ -207,10 +243,10 @@ def aligned_chunks(docs: DataFrame, a_file: str, b_file: str) -> DataFrame:
         chunk = TaskContext.get().partitionId() << 32
         doc_ids, texts, held = [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                doc_ids.append(doc_id.as_py())
-                texts.append(text.as_py())
-                held += len(texts[-1] or "")
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                doc_ids.append(doc_id)
+                texts.append(text)
+                held += len(text or "")
                 if held >= CHUNK:
                     yield _chunk_batch(aligner, chunk, doc_ids, texts)
                     chunk, doc_ids, texts, held = chunk + 1, [], [], 0
