@@ -190,7 +190,8 @@ def manifest(docs: DataFrame) -> DataFrame:
     tree = F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit(""))
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", "lang", F.col("n_chars").cast("bigint").alias("n_chars"), "text")
     leaves = docs.select(tree.alias("tree"), "doc_id", leaf_of(F.col("text")).alias("digest"), tampered.alias("tampered"))
-    forest = Forest(ranked(leaves, ["doc_id", "digest"]))
+    # Written first: the sort looks at its input twice, and the texts are to be hashed once.
+    forest = Forest(ranked(written(leaves, "leaves"), ["doc_id", "digest"]))
     subroots = written(forest.roots(), "subroots")
     # The subroots are leaves of one tree over all languages.
     whole = Forest(ranked(subroots.select(F.lit("").alias("tree"), F.col("tree").alias("name"), "digest"), ["name"]))
