@@ -178,7 +178,7 @@ def lexical(
         unnest(toks, F.array_distinct("toks"), "term").groupBy("term").agg(n_rows("df")),
         "document-frequencies",
     )
-    sizes = toks.agg(n_rows("n"), F.avg(F.size("toks")).alias("mean_length")).first()
+    sizes = toks.agg(n_rows("n"), F.avg(F.greatest(F.coalesce(F.size("toks"), F.lit(0)), F.lit(0))).alias("mean_length")).first()
     n, mean_length = sizes["n"], sizes["mean_length"] or 1.0
     raw_idf = F.log(F.lit(float(n)) - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
     floor = scalar(frequencies.agg(F.avg(raw_idf) * epsilon))

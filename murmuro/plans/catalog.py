@@ -30,6 +30,7 @@ from murmuro.operators import (
     topics,
 )
 from murmuro.operators.corpus_vectors import CorpusVectors
+from murmuro.operators.term_index import TermIndex
 from murmuro.operators.vector_index import VectorIndex
 from murmuro.plans.enrich import enrich
 from murmuro.runtime import fixed_table, n_rows, scalar, shared_folder, top, unnest, written
@@ -856,6 +857,37 @@ def lexical_search(spark, d):
     return rounded(retrieval.lexical(benchmark_queries(spark, d), bind.documents(spark, d)), 4, "score")
 
 
+def term_index(spark, d, *parts):
+    """An inverted index of all comments, or of the first part with the others appended."""
+    import uuid
+
+    path = f"{shared_folder(spark)}/murmuro/{uuid.uuid4().hex}/terms"
+    first, *more = parts or [bind.documents(spark, d)]
+    built = TermIndex.build(first, path)
+    for rows in more:
+        built.append(rows)
+    return TermIndex(spark, path)
+
+
+@query
+def term_index_search(spark, d):
+    return rounded(term_index(spark, d).search(benchmark_queries(spark, d)), 4, "score")
+
+
+@query
+def appended_term_index_search(spark, d):
+    """The same over an index to which half the comments were added later."""
+    docs = bind.documents(spark, d)
+    built = term_index(spark, d, docs.where("doc_id % 2 = 1"), docs.where("doc_id % 2 = 0"))
+    return rounded(built.search(benchmark_queries(spark, d)), 4, "score")
+
+
+@query
+def term_index_effort(spark, d):
+    """(query_id, blocks, scored): blocks of documents that hold a query's terms, and those that had to be scored."""
+    return term_index(spark, d).effort(benchmark_queries(spark, d))
+
+
 @query
 def hybrid_search(spark, d):
     docs = bind.documents(spark, d)

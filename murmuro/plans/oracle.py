@@ -587,6 +587,10 @@ SQL: dict[str, str] = {
         SELECT query_id, rank, doc_id, round(distance, 6) AS distance FROM near""",
     "lexical_search": f"""WITH bench AS (SELECT item_id AS query_id, text FROM benchmark), {bm25("lex", "bench", 6)}
         SELECT query_id, rank, doc_id, round(score, 4) AS score FROM lex""",
+    "term_index_search": f"""WITH bench AS (SELECT item_id AS query_id, text FROM benchmark), {bm25("lex", "bench", 6)}
+        SELECT query_id, rank, doc_id, round(score, 4) AS score FROM lex""",
+    "appended_term_index_search": f"""WITH bench AS (SELECT item_id AS query_id, text FROM benchmark), {bm25("lex", "bench", 6)}
+        SELECT query_id, rank, doc_id, round(score, 4) AS score FROM lex""",
     "hybrid_search": f"""WITH {DENSE}, {bm25("lex", "asked", 6)},
         pool AS (SELECT query_id, doc_id, 0.5 / (60 + rank) AS part FROM dense UNION ALL
                  SELECT query_id, doc_id, 0.5 / (60 + rank) FROM lex),
