@@ -44,8 +44,18 @@ _NOISE_WORDS = set(
 )
 # Only outside an article: inside one they hold its title or source.
 _OUTER_WORDS = {"header", "footer", "masthead", "topbar", "login", "search"}
+# Inside an article: what may be noise by its name, and words that may stand in such a name.
+_CONTAINERS = {"div", "section", "ul", "ol", "dl", "span", "aside", "center", "figure", "header", "footer", "table"}
+_PLAIN_WORDS = set(
+    "area bar block bottom box buttons button container content footer form group header icons inline inner item items left link "
+    "links list main media outer panel post posts right section slot text top unit wrap wrapper bars boxes lists form forms".split()
+)
 # Of an article that has comments, not of a comment.
 _STATES = {"open", "closed", "status", "count"}
+# What a start tag ends: a paragraph, and items of its own kind.
+_PARAGRAPH = ("p",)
+_ENDS = {"li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "option": ("option", "p"), "tr": ("tr", "td", "th", "p")}
+_ENDS |= {"td": ("td", "th", "p"), "th": ("td", "th", "p")}
 # An end tag of one of these closes what is open inside; a paragraph does not reach beyond them.
 _SCOPE = _BLOCK - {"p", "h1", "h2", "h3", "h4", "h5", "h6"}
 
@@ -79,7 +89,7 @@ def _is_comment(name: str) -> bool:
 
 def _noisy(tag: str, attributes: dict[str, str], article: bool) -> bool:
     """Is this node one that never holds main text?"""
-    if tag in _NOISE or tag == "header" and not article:
+    if tag in _NOISE and not (article and tag in ("fieldset", "legend")) or tag == "header" and not article:
         return True
     if not attributes:
         return False
@@ -91,8 +101,17 @@ def _noisy(tag: str, attributes: dict[str, str], article: bool) -> bool:
         return any(_is_comment(c) for c in f"{attributes.get('class', '')} {attributes.get('id', '')}".split())
     if tag in ("html", "body", "main"):
         return False
-    words = {w.lower() for w in _CAMEL.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}")}
-    return bool(words & _NOISE_WORDS or not article and words & _OUTER_WORDS)
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
+    if article:
+        # Inside an article a name counts only on a container, and only if all its words say so ("share-buttons").
+        return tag in _CONTAINERS and any(_all_noise(n) for n in names.split())
+    words = {w.lower() for w in _CAMEL.findall(names)}
+    return bool(words & _NOISE_WORDS or words & _OUTER_WORDS)
+
+
+def _all_noise(name: str) -> bool:
+    words = {w.lower() for w in _CAMEL.findall(name) if not w.isdigit()}
+    return bool(words & _NOISE_WORDS) and words <= _NOISE_WORDS | _PLAIN_WORDS
 
 
 def blocks(page: str) -> Iterator[tuple[int, int, bool, str]]:
@@ -102,7 +121,9 @@ def blocks(page: str) -> Iterator[tuple[int, int, bool, str]]:
     come. The work grows with the length of the page.
     """
     stack = [_Node("", OPEN, 0, False)]
-    open_tags: dict[str, int] = {}
+    # Where the stack has each tag, and where it has one that closes what is open inside.
+    places: dict[str, list[int]] = {}
+    scopes: list[int] = []
     text: list[str] = []
     raw_until, at = None, 0
 
@@ -115,7 +136,9 @@ def blocks(page: str) -> Iterator[tuple[int, int, bool, str]]:
                 yield node.path, node.kind, node.article, " ".join(words)
 
     def pop() -> None:
-        open_tags[stack.pop().tag] -= 1
+        places[stack.pop().tag].pop()
+        if scopes and scopes[-1] == len(stack):
+            scopes.pop()
 
     while at < len(page):
         if raw_until:
@@ -134,10 +157,10 @@ def blocks(page: str) -> Iterator[tuple[int, int, bool, str]]:
         if tag is None:
             continue
         if token[1]:  # an end tag
-            if open_tags.get(tag):
+            if places.get(tag):
                 if tag in _BLOCK:
                     yield from flush()
-                elif any(n.tag in _SCOPE for n in stack[_last(stack, tag) :]):
+                elif scopes and scopes[-1] > places[tag][-1]:
                     continue  # inline markup does not close blocks
                 while stack[-1].tag != tag:
                     pop()
@@ -151,7 +174,11 @@ def blocks(page: str) -> Iterator[tuple[int, int, bool, str]]:
             continue
         if tag in _BLOCK:
             yield from flush()
-            _close_implied(stack, tag, pop)
+            # An open paragraph, or the item before this one, ends here, up to the nearest container.
+            before = max((places[t][-1] for t in _ENDS.get(tag, _PARAGRAPH) if places.get(t)), default=0)
+            if before and not (scopes and scopes[-1] > before):
+                while len(stack) > before:
+                    pop()
         if tag in _VOID:
             continue
         if tag in _RAW:
@@ -170,38 +197,16 @@ def blocks(page: str) -> Iterator[tuple[int, int, bool, str]]:
             path = xxhash.xxh64_intdigest(f"{path} {tag} {_DIGITS.sub('', attributes.get('class', ''))}") >> 1
         if kind == REMOVED and node.kind != REMOVED and tag not in _BLOCK:
             text.append(" " if tag not in _RAW else "")
+        places.setdefault(tag, []).append(len(stack))
+        if tag in _SCOPE:
+            scopes.append(len(stack))
         stack.append(_Node(tag, kind, path, article))
-        open_tags[tag] = open_tags.get(tag, 0) + 1
         if token[3] and token[3].rstrip().endswith("/") and tag in ("svg", "math"):
             pop()
             raw_until = None
     yield from flush()
 
 
-def _last(stack: list[_Node], tag: str) -> int:
-    at = len(stack) - 1
-    while stack[at].tag != tag:
-        at -= 1
-    return at
-
-
-_SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}}
-_SIBLINGS |= {"td": {"td", "th"}, "th": {"td", "th"}}
-
-
-def _close_implied(stack: list[_Node], tag: str, pop) -> None:
-    """Close an open paragraph, or the item before this one, up to the nearest container."""
-    ends = _SIBLINGS.get(tag, set()) | {"p"}
-    at = len(stack) - 1
-    while at > 0 and stack[at].tag not in ends:
-        if stack[at].tag in _SCOPE:
-            return
-        at -= 1
-    if at > 0:
-        while len(stack) > at:
-            pop()
-
-
 def _kept(page: str) -> list[tuple[int, int, bool, str]]:
     """The page's blocks without removed ones."""
     return [b for b in blocks(page) if b[1] != REMOVED]
