@@ -13,7 +13,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from murmuro.llm.words import WORD, free_name, pieces, text_or_empty
@@ -231,15 +231,20 @@ def train(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, sample: int
 
     described = rows.mapInArrow(describe, "doc_id bigint, y array<int>, numbers array<int>, values array<float>")
     described = written(described, "features")
+    # In the order of a hash, so the files' order decides nothing; at most `sample` ids and their sizes in one task.
+    place = Window.orderBy(F.xxhash64(F.lit(2), "doc_id"), "doc_id", F.size("numbers")).rowsBetween(Window.unboundedPreceding, 0)
+    taken = described.select("doc_id", F.sum(F.size("numbers")).over(place).alias("upto")).where(F.col("upto") <= SAMPLE_FEATURES)
+    described = described.join(F.broadcast(taken.select("doc_id").distinct()), "doc_id")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, total = {}, 0
+        parts = {}
         for batch in batches:
             for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
                 numbers, values = (batch.column(c)[i].values.to_numpy() for c in ("numbers", "values"))
-                if doc_id not in parts and total + len(numbers) <= SAMPLE_FEATURES:
-                    parts[doc_id] = (batch.column("y")[i].as_py(), numbers, values)
-                    total += len(numbers)
+                here = (batch.column("y")[i].as_py(), numbers, values)
+                # Of several documents of one id the one with the fewest features, then the least of them.
+                if doc_id not in parts or (len(numbers), numbers.tobytes()) < (len(parts[doc_id][1]), parts[doc_id][1].tobytes()):
+                    parts[doc_id] = here
         order = sorted(parts)
         got = [parts[i] for i in order]
         y = np.asarray([g[0] for g in got], float).reshape(len(got), len(categories))
