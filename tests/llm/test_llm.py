@@ -91,6 +91,31 @@ def test_pseudonyms_of_names_that_touch(spark):
     assert got[2][1].startswith("..") and got[4][1] == texts[4]
 
 
+def test_the_sample_does_not_follow_file_order(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_FEATURES", 2_000)
+    rows = [(i, f"word{i % 7} " * (5 + i % 3) + ("vile scum " if i % 4 == 0 else "fine day ") + f"extra{i}") for i in range(200)]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i, _ in rows], "doc_id bigint, quality int, toxic int")
+    one, other = (
+        toxicity.train(spark.createDataFrame(r, "doc_id bigint, text string").repartition(n), labels) for r, n in ((rows, 1), (rows[::-1], 3))
+    )
+    assert one.threshold == other.threshold and all((a == b).all() for a, b in zip(one.weights, other.weights, strict=True))
+
+
+def test_open_tags_take_linear_time():
+    start = time.monotonic()
+    assert list(style_tree.blocks("<b>" * 100_000 + "<div></div>" * 100_000)) == []
+    assert sum(1 for _ in style_tree.blocks("<p>x" * 100_000 + "</i></b>" * 100_000)) == 100_000
+    assert time.monotonic() - start < 20
+
+
+def test_names_inside_an_article_drop_no_text():
+    page = (
+        '<article><div class="share-prices-table">a</div><p class="respond">b</p><fieldset><legend>c</legend>d</fieldset>'
+        '<div class="share-buttons">no</div><form>no<fieldset>no</fieldset></form><div class="post-content related-topics">e</div></article>'
+    )
+    assert [b[3] for b in style_tree.blocks(page)] == ["a", "b", "c", "d", "e"]
+
+
 def test_pieces_keep_every_word(monkeypatch):
     monkeypatch.setattr(words, "PIECE", 10)
     text = "aa bbb\ncccccccccccccccccccccc d e ff " * 5
