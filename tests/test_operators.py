@@ -499,6 +499,23 @@ def test_stream_keeps_columns_and_replaces_a_repeated_batch(spark, tmp_path):
     assert stored() == [(1, "same text"), (6, "new text"), (7, "third text")]
 
 
+def test_stream_looks_up_its_own_keys_only(spark, tmp_path):
+    def arrive(texts):
+        spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(2).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema("doc_id bigint, text string").parquet(str(tmp_path / "in"))
+        query = ingest.ingest(stream, str(tmp_path / "out"), str(tmp_path / "state"), "doc_id")
+        query.awaitTermination()
+        state = [p for p in query.recentProgress if p.stateOperators][-1].stateOperators[0]
+        return state.numRowsTotal, int(state.customMetrics["rocksdbGetCount"])
+
+    assert arrive([f"text {'x'.join(str(i))}" for i in range(3000)])[0] == 3000
+    # Most are copies of one another, one is old: keys are looked up, not the history.
+    total, looked_up = arrive([f"text {'x'.join(str(2990 + i % 20))}" for i in range(400)])
+    assert total == 3010 and looked_up <= 100
+    stored = spark.read.parquet(str(tmp_path / "out"))
+    assert stored.count() == stored.select("text").distinct().count() == 3010
+
+
 def test_stream_equals_batch(spark, tmp_path):
     for i, batch in enumerate([["alpha one", "beta two"], ["alpha one", "x", "gamma   three"]]):
         spark.createDataFrame([(t,) for t in batch], "text string").write.mode("append").parquet(str(tmp_path / "in"))
