@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from murmuro import fixed_values as fixed
 from murmuro.functions import text
 from murmuro.operators.order import prefix_sum
+from murmuro.sources import csv_ranges
 from murmuro.sources.bind import RAW_COMMENTS
 
 COLLECTOR_PAGE = T.StructType(
@@ -80,15 +81,8 @@ def complete(spark: SparkSession, path: str) -> bool:
 
 
 def read_comments_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_COMMENTS) -> DataFrame:
-    """Comment CSV with quoted line breaks; the usual missing-value spellings become NULL."""
-    raw = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("encoding", "UTF-8")
-        .csv(path)
-    )
+    """Comment CSV with quoted line breaks, one file read by many tasks; the usual missing-value spellings become NULL."""
+    raw = csv_ranges.read_csv(spark, path, schema)
     missing = [
         F.when(~F.col(f.name).isin(fixed.MISSING_CELLS), F.col(f.name)).alias(f.name)
         if isinstance(f.dataType, T.StringType)
