@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from murmuro import fixed_values as fixed
 from murmuro.functions import text, tokens
 from murmuro.operators.order import prefix_sum
-from murmuro.runtime import lookup_join, n_rows, scalar, top, unnest, written
+from murmuro.runtime import is_small, lookup_join, n_rows, scalar, top, unnest, written
 
 
 def token_arrays(df: DataFrame, order_key: str = "doc_id") -> DataFrame:
@@ -63,6 +64,30 @@ def lemmatised(counts: DataFrame, lemmas: DataFrame, n: int = 1, name: str = "to
     return split.groupBy(joined).agg(F.sum("count").alias("count"))
 
 
+def lemma_arrays(df: DataFrame, lemmas: DataFrame, order_key: str = "doc_id") -> DataFrame:
+    """(order key, tokens): the tokens of each comment in order, each as its lemma where it has one.
+
+    A lemma table counted small goes to every executor and is looked up inside the row; a larger one is joined.
+    """
+    arrays = token_arrays(df, order_key)
+    table = lemmas.select("word", "lemma")
+    if is_small(table):
+        known = df.sparkSession.sparkContext.broadcast({r.word: r.lemma for r in table.collect()})
+
+        @F.arrow_udf("array<string>")
+        def looked_up(lists: pa.Array) -> pa.Array:
+            names = known.value
+            return pa.array([None if t is None else [names.get(w, w) for w in t] for t in lists.to_pylist()], pa.list_(pa.string()))
+
+        return arrays.select(order_key, looked_up("tokens").alias("tokens"))
+    rows = unnest(arrays, "tokens", "word", order_key, pos="pos")
+    rows = lookup_join(rows, table, "word", "left", spread=[order_key]).withColumn("token", F.coalesce("lemma", "word"))
+    found = rows.groupBy(order_key).agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("x"))
+    found = found.select(order_key, F.col("x.token").alias("_lemmas"))
+    joined = arrays.join(found.hint("merge"), order_key, "left")
+    return joined.select(order_key, F.coalesce("_lemmas", "tokens").alias("tokens"))
+
+
 def word_frequencies(df: DataFrame, n: int = 30, lemmas: DataFrame | None = None) -> DataFrame:
     counts = count_words(token_arrays(df))
     if lemmas is not None:

@@ -137,6 +137,13 @@ def token_text(spark, d):
     return df.select("doc_id", F.size("tokens").alias("n_tokens"), F.array_join("tokens", " ").alias("text"))
 
 
+@query
+def lemmatised_token_text(spark, d):
+    """The whole chain, lemmas last."""
+    df = lexical.lemma_arrays(bind.documents(spark, d), lemmas(spark, d))
+    return df.select("doc_id", F.size("tokens").alias("n_tokens"), F.array_join("tokens", " ").alias("text"))
+
+
 @query
 def normalised_text(spark, d):
     return bind.documents(spark, d).select("doc_id", text.normalise_for_tokens(F.col("text")).alias("text"))
@@ -200,6 +207,77 @@ def metadata_csv_round_trip(spark, d):
     return back.select("video_id", "author", "text", "likes", day().alias("published"))
 
 
+def new_folder(spark, name):
+    import uuid
+
+    return f"{shared_folder(spark)}/murmuro/{uuid.uuid4().hex}/{name}"
+
+
+@query
+def loaded_comments(spark, d):
+    """The cleaned CSV, which is loaded where there is no enriched table."""
+    path = new_folder(spark, "comments.csv")
+    df = bind.comments(spark, d, author=True).select(
+        "video_id", "author", "text", "likes", F.col("published_at").cast("string").alias("published_at")
+    )
+    files.write_csv(df, path)
+    back = files.load_comments(spark, new_folder(spark, "nothing"), path)
+    return back.select("video_id", "author", "text", "likes", day().alias("published"))
+
+
+def collector_pages(spark, d):
+    """The documents as a collector would get them: per source one page for every hundred ids."""
+    snippet = F.struct(
+        F.col("lang").alias("authorDisplayName"),
+        F.col("text").alias("textDisplay"),
+        F.col("n_chars").cast("bigint").alias("likeCount"),
+        F.col("source").alias("publishedAt"),
+    )
+    item = F.struct("doc_id", F.struct(F.struct(snippet.alias("snippet")).alias("topLevelComment")).alias("snippet"))
+    docs = bind.table(spark, d, "documents").select(F.col("source").alias("video_id"), F.floor(F.col("doc_id") / 100).alias("page_no"), item.alias("item"))
+    pages = docs.groupBy("video_id", "page_no").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    return pages.withColumn("items", F.transform("items", lambda x: F.struct(x["snippet"].alias("snippet"))))
+
+
+@query
+def flattened_pages(spark, d):
+    return files.flatten_pages(written(collector_pages(spark, d), "pages"))
+
+
+@query
+def collected_comments(spark, d):
+    """About 300 comments of the first three sources, to the end of a page, each text once."""
+    pages = written(collector_pages(spark, d), "pages")
+    sources = [r.video_id for r in pages.select("video_id").distinct().orderBy("video_id").limit(3).collect()]
+    return files.collect_pages(pages, 300, sources)
+
+
+@query
+def metrics_log(spark, d):
+    """The metrics of two runs, appended and read back."""
+    path = new_folder(spark, "metrics")
+    docs = bind.table(spark, d, "documents")
+    for run, rows in (("all", docs), ("english", docs.where("lang = 'en'"))):
+        found = rows.agg(n_rows("documents"), F.avg("n_chars").alias("mean_chars"))
+        metrics = found.select(F.explode(F.create_map(F.lit("documents"), F.col("documents").cast("double"), F.lit("mean_chars"), F.col("mean_chars"))))
+        files.write_metrics(metrics.toDF("key", "value"), path, run, {"lang": run})
+    stored = spark.read.parquet(path)
+    return rounded(stored.select("run_name", "key", "value", F.col("params")["lang"].alias("lang")), 6, "value")
+
+
+@query
+def built_stages(spark, d):
+    """A stage that is there stays as it is unless it is to be rebuilt."""
+    docs = bind.table(spark, d, "documents")
+    first = lambda: docs.groupBy("lang").agg(n_rows("n"))
+    second = lambda: docs.groupBy("lang").agg(F.sum("n_chars").alias("n"))
+    kept, rebuilt = new_folder(spark, "kept"), new_folder(spark, "rebuilt")
+    for path in (kept, rebuilt):
+        files.build_stage(spark, path, first)
+    out = files.build_stage(spark, kept, second).withColumn("stage", F.lit("kept"))
+    return out.unionByName(files.build_stage(spark, rebuilt, second, rebuild=True).withColumn("stage", F.lit("rebuilt")))
+
+
 # Browse and scope
 
 
@@ -628,6 +706,16 @@ def tagger_agreement(spark, d):
     return rounded(tagging.agreement(compared, ["default", "unigram", "bigram", "trigram", "hmm"]), 6, "share")
 
 
+@query
+def tagger_rows(spark, d):
+    """Every token with the tags of all taggers side by side."""
+    tagged = written(training_tags(spark, d), "tagged")
+    ngram = tagging.tag_with_ngrams(tagged, written(tagging.train_ngram_taggers(tagged), "tagger"))
+    hmm = tagging.tag_with_hmm(tagged, tagging.train_hmm(tagged))
+    default = tagged.select("sent_id", "pos", "word", tokens.default_tag(F.col("word")).alias("tag"))
+    return tagging.compare_taggers(ngram, hmm, default)
+
+
 @query
 def noun_chunks(spark, d):
     return relations.noun_chunks(relations.tagged_comments(bind.documents(spark, d)))
@@ -949,6 +1037,29 @@ def strategy_overlap(spark, d):
     return retrieval.overlap(compared)
 
 
+@query
+def strategy_rows(spark, d):
+    """The hits of three strategies side by side."""
+    asked, docs, stored = written(topic_questions(spark, d), "questions"), bind.documents(spark, d), index(spark, d)
+    return retrieval.side_by_side(
+        {
+            "semantic": retrieval.semantic(asked, stored, 4),
+            "lexical": retrieval.lexical(asked, docs, 4),
+            "diverse": retrieval.diverse(asked, stored, 4),
+        }
+    )
+
+
+@query
+def retrieval_quality_per_question(spark, d):
+    """Every question has expected words of its own: its first three long ones."""
+    asked, docs = written(topic_questions(spark, d), "questions"), bind.documents(spark, d)
+    hits = retrieval.with_columns_of(retrieval.semantic(asked, index(spark, d)), docs, "text")
+    long = F.filter(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), 0), lambda w: F.length(w) >= 8)
+    expect = asked.select("query_id", F.slice(long, 1, 3).alias("expect"))
+    return rounded(evaluate.retrieval_metrics(hits, expect), 6, "hit_rate", "mrr")
+
+
 @query
 def retrieval_quality(spark, d):
     asked, docs = written(topic_questions(spark, d), "questions"), bind.documents(spark, d)

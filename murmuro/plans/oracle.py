@@ -676,3 +676,65 @@ SQL["lemma_frequencies"] = (
     " SELECT coalesce(lemma, token) AS token, sum(n)::BIGINT AS count FROM vocab LEFT JOIN lem ON lem.word = token"
     " GROUP BY 1 ORDER BY count DESC, 1 LIMIT 30"
 )
+
+SQL["lemmatised_token_text"] = f"""WITH {LEMMA_TOKENS},
+    joined AS (SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS text FROM ltok GROUP BY doc_id)
+    SELECT doc_id, len(toks) AS n_tokens, coalesce(text, '') AS text FROM arrays LEFT JOIN joined USING (doc_id)"""
+
+# Collector pages, metrics and stages
+SQL["loaded_comments"] = SQL["metadata_csv_round_trip"]
+SQL["flattened_pages"] = """SELECT source AS video_id, doc_id // 100 AS page_no,
+    row_number() OVER (PARTITION BY source, doc_id // 100 ORDER BY doc_id) - 1 AS item_no,
+    lang AS author, text, n_chars AS likes, source AS published_at FROM documents"""
+SQL["collected_comments"] = f"""WITH flat AS ({SQL["flattened_pages"]}),
+    pages AS (SELECT video_id, page_no, count(*) AS n FROM flat
+      WHERE video_id IN (SELECT DISTINCT source FROM documents ORDER BY source LIMIT 3) GROUP BY ALL),
+    kept AS (SELECT * FROM pages QUALIFY coalesce(sum(n) OVER (ORDER BY video_id, page_no
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 300)
+    SELECT video_id, author, text, likes, published_at FROM flat JOIN kept USING (video_id, page_no)
+    QUALIFY row_number() OVER (PARTITION BY text ORDER BY video_id, page_no, item_no) = 1"""
+SQL["metrics_log"] = """WITH runs AS (SELECT 'all' AS run_name, * FROM documents
+      UNION ALL SELECT 'english', * FROM documents WHERE lang = 'en'),
+    found AS (SELECT run_name, count(*)::DOUBLE AS documents, avg(n_chars) AS mean_chars FROM runs GROUP BY run_name)
+    SELECT run_name, 'documents' AS key, documents AS value, run_name AS lang FROM found
+    UNION ALL SELECT run_name, 'mean_chars', round(mean_chars, 6), run_name FROM found"""
+SQL["built_stages"] = """SELECT lang, count(*) AS n, 'kept' AS stage FROM documents GROUP BY lang
+    UNION ALL SELECT lang, sum(n_chars)::BIGINT, 'rebuilt' FROM documents GROUP BY lang"""
+
+# Greedy choice of diverse hits: per step the candidate of the best balance between the question and what is chosen.
+_UNIT = "list_transform({0}, lambda x: x / sqrt(list_dot_product({0}, {0})))"
+
+
+def diverse(name: str, k: int) -> str:
+    """Ends in `name(query_id, rank, doc_id)`, needs asked and idx."""
+    return f"""{nearest('pool', 'asked', 'idx', 20)},
+    cand AS (SELECT p.query_id, p.rank, p.doc_id, {_UNIT.format("v")} AS u, list_dot_product({_UNIT.format("q")}, {_UNIT.format("v")}) AS near
+      FROM pool p JOIN idx USING (doc_id) JOIN asked USING (query_id)),
+    greedy AS (
+      SELECT query_id, 0 AS rank, NULL::BIGINT AS doc_id, []::BIGINT[] AS chosen, []::DOUBLE[][] AS us FROM asked
+      UNION ALL
+      SELECT g.query_id, g.rank + 1, c.doc_id, list_append(g.chosen, c.doc_id), list_append(g.us, c.u)
+      FROM greedy g JOIN cand c ON c.query_id = g.query_id AND NOT list_contains(g.chosen, c.doc_id)
+      WHERE g.rank < {k}
+      QUALIFY row_number() OVER (PARTITION BY g.query_id ORDER BY round(CASE WHEN g.rank = 0 THEN c.near
+        ELSE 0.5 * c.near - 0.5 * list_max(list_transform(g.us, lambda x: list_dot_product(x, c.u))) END, 9) DESC, c.rank) = 1),
+    {name} AS (SELECT query_id, rank, doc_id FROM greedy WHERE rank > 0)"""
+
+
+SQL["diverse_search"] = f"WITH RECURSIVE {QUESTIONS}, {INDEX}, {diverse('div', 6)} SELECT * FROM div"
+_FOUR = f"{QUESTIONS}, {INDEX}, {nearest('dense', 'asked', 'idx', 4)}, {bm25('lex', 'asked', 4)}, {diverse('div', 4)}"
+_ROWS = """SELECT 'semantic' AS strategy, query_id, rank, doc_id FROM dense UNION ALL SELECT 'lexical', query_id, rank, doc_id FROM lex
+    UNION ALL SELECT 'diverse', query_id, rank, doc_id FROM div"""
+SQL["strategy_rows"] = f"WITH RECURSIVE {_FOUR} {_ROWS}"
+SQL["strategy_overlap"] = f"""WITH RECURSIVE {_FOUR},
+    pool2 AS (SELECT query_id, doc_id, 0.5 / (60 + rank) AS part FROM dense UNION ALL SELECT query_id, doc_id, 0.5 / (60 + rank) FROM lex),
+    hyb AS (SELECT query_id, text, min(doc_id) AS doc_id FROM pool2 JOIN documents USING (doc_id) GROUP BY ALL),
+    found AS (SELECT DISTINCT strategy, query_id, doc_id FROM ({_ROWS} UNION ALL SELECT 'hybrid', query_id, 0, doc_id FROM hyb))
+    SELECT a.strategy AS first, b.strategy AS second, count(*) AS shared
+    FROM found a JOIN found b USING (query_id, doc_id) GROUP BY ALL"""
+SQL["retrieval_quality_per_question"] = rf"""WITH {DENSE},
+    want AS (SELECT query_id, unnest(list_filter(regexp_extract_all(lower(text), '\p{{L}}+'), lambda w: length(w) >= 8)[1:3]) AS w FROM asked),
+    ok AS (SELECT n.query_id, min(n.rank) AS r FROM dense n JOIN documents USING (doc_id) JOIN want USING (query_id)
+      WHERE contains(lower(documents.text), w) GROUP BY n.query_id)
+    SELECT count(*) AS questions, round(avg((r IS NOT NULL)::INT), 6) AS hit_rate, round(avg(coalesce(1 / r, 0)), 6) AS mrr
+    FROM asked LEFT JOIN ok USING (query_id)"""

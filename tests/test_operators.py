@@ -480,6 +480,15 @@ def test_lemmas_of_ngrams(spark):
     assert got == {"red car": (3, round(math.log2(3), 9)), "car stop": (3, round(math.log2(3), 9))}
 
 
+def test_lemma_arrays_by_lookup_and_by_join(spark, monkeypatch):
+    df = texts(spark, "red cars stop cars", "cars", "", None)
+    lemmas = spark.createDataFrame([("cars", "car"), ("stops", "stop")], "word string, lemma string")
+    want = [(0, ["red", "car", "stop", "car"]), (1, ["car"]), (2, []), (3, lexical.token_arrays(df).orderBy("doc_id").collect()[3]["tokens"])]
+    assert sorted(map(tuple, lexical.lemma_arrays(df, lemmas).collect())) == want
+    monkeypatch.setattr(lexical, "is_small", lambda table: False)
+    assert sorted(map(tuple, lexical.lemma_arrays(df, lemmas).collect())) == want
+
+
 def test_stream_keeps_columns_and_replaces_a_repeated_batch(spark, tmp_path):
     def arrive(*data):
         spark.createDataFrame(data, "doc_id bigint, text string").write.mode("append").parquet(str(tmp_path / "in"))
