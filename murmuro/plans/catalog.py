@@ -34,7 +34,7 @@ from murmuro.operators.term_index import TermIndex
 from murmuro.operators.vector_index import VectorIndex
 from murmuro.plans.enrich import enrich
 from murmuro.runtime import fixed_table, n_rows, scalar, shared_folder, top, unnest, written
-from murmuro.sources import bind, files
+from murmuro.sources import bind, collector, files
 from murmuro.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -252,6 +252,24 @@ def collected_comments(spark, d):
     return files.collect_pages(pages, 300, sources)
 
 
+@query
+def replayed_pages(spark, d):
+    """The same pages stored as a collector's answers, and followed from token to token up to 300 comments."""
+    path = new_folder(spark, "answers")
+    pages = written(collector_pages(spark, d), "pages")
+    chain = Window.partitionBy("video_id").orderBy("page_no")
+    name = lambda place: F.when(place == 0, collector.FIRST).otherwise(F.concat(F.lit("t"), place.cast("string")))
+    place = F.row_number().over(chain) - 1
+    following = F.when(F.lead("page_no").over(chain).isNotNull(), name(place + 1))
+    answers = pages.select(
+        F.col("video_id").alias("video"), name(place).alias("token"), F.to_json(F.struct("items", following.alias("nextPageToken"))).alias("value")
+    )
+    answers.write.partitionBy("video", "token").text(path)
+    sources = [r.video_id for r in pages.select("video_id").distinct().orderBy("video_id").limit(3).collect()]
+    collector.register(spark)
+    return spark.read.format("comment_pages").option("path", path).option("videos", ",".join(sources)).option("target", 300).load()
+
+
 @query
 def metrics_log(spark, d):
     """The metrics of two runs, appended and read back."""

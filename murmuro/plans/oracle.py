@@ -693,6 +693,9 @@ SQL["collected_comments"] = f"""WITH flat AS ({SQL["flattened_pages"]}),
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 300)
     SELECT video_id, author, text, likes, published_at FROM flat JOIN kept USING (video_id, page_no)
     QUALIFY row_number() OVER (PARTITION BY text ORDER BY video_id, page_no, item_no) = 1"""
+SQL["replayed_pages"] = SQL["collected_comments"].split("SELECT video_id, author")[0] + """
+    SELECT video_id, dense_rank() OVER (PARTITION BY video_id ORDER BY page_no) - 1 AS page_no, item_no, author, text, likes, published_at
+    FROM flat JOIN kept USING (video_id, page_no)"""
 SQL["metrics_log"] = """WITH runs AS (SELECT 'all' AS run_name, * FROM documents
       UNION ALL SELECT 'english', * FROM documents WHERE lang = 'en'),
     found AS (SELECT run_name, count(*)::DOUBLE AS documents, avg(n_chars) AS mean_chars FROM runs GROUP BY run_name)
