@@ -651,6 +651,18 @@ def comment_keywords(spark, d):
     return df.select("doc_id", F.array_join("keywords", "|").alias("keywords"))
 
 
+@query
+def single_text_keywords(spark, d):
+    """Keywords that follow from each text alone."""
+    df = keywords.with_single_keywords(bind.documents(spark, d))
+    return df.select("doc_id", F.array_join("keywords", "|").alias("keywords"))
+
+
+@query
+def single_keyword_counts(spark, d):
+    return overview.list_counts(keywords.with_single_keywords(bind.documents(spark, d)), "keywords", 20)
+
+
 @query
 def keyword_counts(spark, d):
     return overview.list_counts(keywords.keywords(bind.documents(spark, d)), "keywords", 20)
