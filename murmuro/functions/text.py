@@ -42,6 +42,13 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
+# Characters that NFKC leaves as they are and that join no other one: ASCII, the letters and most marks of Latin-1, and
+# typographic dashes, quotes and the euro sign.
+PLAIN = r"\x00-\x7F¡-§©«¬®°±¶·»¿À-ÿ–—‘’“”„€"
+# A stretch without white space, whatever script the white space is from.
+STRETCH = r"[^\s\x0B\x1C-\x1F\x85\p{Z}]+"
+
+
 @F.pandas_udf(T.StringType())
 def _decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Entity decoding and NFKC, which Spark has no built-in for, with the two strips between them."""
@@ -59,10 +66,10 @@ def _decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 def decode(c: Column) -> Column:
     """Entities, tags, URLs, NFKC, in that order.
 
-    Only texts with an ampersand or a non-ASCII character travel to Python; for the
-    rest the two middle steps are all there is to do and stay in the JVM.
+    Only texts with what may be an entity or with a character outside PLAIN travel to Python; for
+    the rest the two middle steps are all there is to do and stay in the JVM.
     """
-    needs_python = c.rlike(r"&|[^\x00-\x7F]")
+    needs_python = c.rlike(rf"&[#A-Za-z]|[^{PLAIN}]")
     return F.coalesce(_decode(F.when(needs_python, c)), strip_urls(strip_tags(c)))
 
 
@@ -112,13 +119,13 @@ def normalise_for_tokens(c: Column) -> Column:
 
 
 def word_count(c: Column) -> Column:
-    """Number of white-space separated words, 0 for missing or blank text."""
-    return F.coalesce(F.regexp_count(c, F.lit(r"\S+")), F.lit(0))
+    """Number of white-space separated words, 0 for missing or blank text; any Unicode blank separates."""
+    return F.coalesce(F.regexp_count(c, F.lit(STRETCH)), F.lit(0))
 
 
 def sentences(c: Column) -> Column:
     """The text cut after sentence ends that are followed by white space; blank pieces dropped."""
-    marked = F.regexp_replace(c, r"([.?!])\s+", "$1\x01")
+    marked = F.regexp_replace(c, r"(?U)([.?!])\s+", "$1\x01")
     return F.filter(F.split(marked, "\x01"), lambda s: F.trim(s) != "")
 
 
@@ -131,7 +138,7 @@ def syllable_count(c: Column) -> Column:
     """Vowel groups per word, at least one for each word."""
     lowered = F.lower(c)
     groups = F.regexp_count(lowered, F.lit("[aeiouy]+"))
-    words = F.regexp_extract_all(lowered, F.lit(r"\S+"), 0)
+    words = F.regexp_extract_all(lowered, F.lit(STRETCH), 0)
     without = F.size(F.filter(words, lambda w: ~w.rlike("[aeiouy]")))
     return F.coalesce(groups + without, F.lit(0))
 

@@ -846,7 +846,7 @@ def topic_cover(spark, d):
 @query
 def large_sentiment_groups(spark, d):
     df = rated(spark, d)
-    return overview.counts(df.where(F.col("sentiment").isin(topics.large_groups(df))), "sentiment")
+    return overview.counts(topics.in_large_groups(df), "sentiment")
 
 
 @query
