@@ -2,8 +2,9 @@
 
 Terms are kept when the share of documents that hold them lies in a band. A subset keeps each lexicon
 term with probability 2^-level by a seeded hash; the hash of a document's distinct terms in the subset is
-one position of its fingerprint. The level follows the number of kept terms, so that a subset keeps about
-one term of the document and a few edits leave many positions alone.
+one position of its fingerprint. The levels follow the number of kept terms, from about one term of the document in a
+subset to an eighth of one: a few edits leave many positions alone, and texts whose numbers of terms differ by up to
+eight times still have a level in common.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ from murmuro.runtime import written
 
 # Share of documents that hold a term: the band of inverse document frequencies.
 LEAST, MOST = 0.001, 0.1
-# Subsets for each of the two levels of a fingerprint.
-SUBSETS = 24
+# Levels of a fingerprint, and subsets for each of them.
+LEVELS, SUBSETS = 4, 24
 # Distinct terms that a task counts before it hands the counts on.
 COUNTED = 400_000
 
@@ -75,7 +76,7 @@ def lexicon(docs: DataFrame, least: float = LEAST, most: float = MOST) -> DataFr
 
 
 def fingerprint(kept: set[str], words: dict[str, int]) -> str:
-    """`level:` and the hashes for that level and the next, each 8 hex digits or dashes where no term is kept.
+    """`level:` and the hashes for that level and the following, each 8 hex digits or dashes where no term is kept.
 
     `words`: the lexicon with the terms' hashes. A text without a lexicon term uses all its terms, and one
     without any term has the fingerprint `empty`.
@@ -88,7 +89,7 @@ def fingerprint(kept: set[str], words: dict[str, int]) -> str:
     draws = mixed(ids[:, None] ^ _SEEDS[None, :])
     marks = mixed(draws + np.uint64(1))
     out = []
-    for bits in (level, level + 1):
+    for bits in range(level, level + LEVELS):
         keep = draws < np.uint64((1 << (64 - bits)) - 1)
         sums = np.where(keep, marks, np.uint64(0)).sum(axis=0, dtype=np.uint64)
         out += [f"{h >> 32:08x}" if any_ else "--------" for h, any_ in zip(sums.tolist(), keep.any(axis=0), strict=True)]
@@ -103,13 +104,11 @@ def likeness(a: str, b: str) -> float:
         return 0.0
     (la, _, pa_), (lb, _, pb) = a.partition(":"), b.partition(":")
     shift = int(lb) - int(la)
-    if abs(shift) > 1:
-        return 0.0
     width = 8 * SUBSETS
-    if shift == 1:
-        pa_, pb = pa_[width:], pb[:width]
-    elif shift == -1:
-        pa_, pb = pa_[:width], pb[width:]
+    # From the higher of the two first levels to the lower of the two last ones.
+    pa_, pb = pa_[max(shift, 0) * width :], pb[max(-shift, 0) * width :]
+    common = min(len(pa_), len(pb))
+    pa_, pb = pa_[:common], pb[:common]
     pairs = [(pa_[i : i + 8], pb[i : i + 8]) for i in range(0, len(pa_), 8)]
     pairs = [p for p in pairs if p != ("--------", "--------")]
     return sum(x == y for x, y in pairs) / len(pairs) if pairs else 0.0
