@@ -14,6 +14,7 @@ from datetime import datetime
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -421,6 +422,50 @@ def test_fingerprints(documents, messy, nothing):
     assert imatch.fingerprints(nothing).count() == 0
 
 
+def scrambled(value):
+    value = ((value ^ (value >> 30)) * 0xBF58476D1CE4E5B9) % 2**64
+    value = ((value ^ (value >> 27)) * 0x94D049BB133111EB) % 2**64
+    return value ^ (value >> 31)
+
+
+def plain_positions(text, lexicon):
+    """{(level, subset): hash of the text's terms in the subset, or None} from the definition, term by term."""
+    found = set(WORD.findall(text.lower()))
+    ids = {xxhash.xxh64_intdigest(w) for w in (found & lexicon or found)}
+    if not ids:
+        return None
+    first, out = len(ids).bit_length() - 1, {}
+    for level in range(first, first + imatch.LEVELS):
+        for subset in range(imatch.SUBSETS):
+            seed = scrambled((subset + 1) * 0x9E3779B97F4A7C15 % 2**64)
+            draws = [scrambled(i ^ seed) for i in ids]
+            kept = [scrambled((d + 1) % 2**64) for d in draws if d < 2 ** (64 - level) - 1]
+            out[level, subset] = (sum(kept) % 2**64) >> 32 if kept else None
+    return out
+
+
+def plain_likeness(a, b):
+    if a == b:
+        return 1.0
+    common = [(a[k], b[k]) for k in a if k in b and (a[k], b[k]) != (None, None)] if a and b else []
+    return sum(x == y for x, y in common) / len(common) if common else 0.0
+
+
+def test_fingerprints_and_likeness_from_the_definition(documents):
+    texts = texts_of(documents)
+    order = sorted(texts, reverse=True)
+    lexicon = {r.term for r in imatch.lexicon(documents).collect()}
+    for r in imatch.fingerprints(documents).collect():
+        text, after = texts[r.doc_id], texts[order[(order.index(r.doc_id) + 1) % len(order)]]
+        edited = text[: len(text) - len(text) // 3] + after[: len(text) // 3]
+        mine, changed, following = (plain_positions(t, lexicon) for t in (text, edited, after))
+        for mark, want in ((r.fingerprint, mine), (r.edited_fingerprint, changed)):
+            level = min(k[0] for k in want)
+            digits = "".join("--------" if want[k] is None else f"{want[k]:08x}" for k in sorted(want))
+            assert mark == f"{level}:{digits}"
+        assert r.near_edited == pytest.approx(plain_likeness(mine, changed)) and r.near_next == pytest.approx(plain_likeness(mine, following))
+
+
 def test_lexicon_band(spark):
     docs = spark.createDataFrame([(i, f"all some{i % 2} rare{i} pair{i // 2}") for i in range(8)], "doc_id bigint, text string")
     got = {r.term: r.df for r in imatch.lexicon(docs, 0.2, 0.6).collect()}
