@@ -107,14 +107,16 @@ def spanning_ngrams(arrays: DataFrame, n: int, order_key: str = "doc_id") -> Dat
     Only tokens within n-1 of a comment's edge can take part. They get corpus positions
     from a prefix sum over token counts and meet by position, which is unique.
     """
-    sized = arrays.withColumn("size", F.size("tokens").cast("bigint")).where("size > 0")
-    placed = prefix_sum(sized.select(order_key, "size"), order_key, "size", "start").drop("size")
     edge = n - 1
-    edges = (
-        unnest(sized.join(placed, order_key), "tokens", "token", order_key, "start", "size", pos="j")
-        .where((F.col("j") < edge) | (F.col("j") >= F.col("size") - edge))
-        .select(order_key, (F.col("start") + F.col("j")).alias("at"), "token")
-    )
+    placed = F.transform("tokens", lambda t, j: F.struct(j.alias("j"), t.alias("token")))
+    size = F.size("tokens")
+    # A comment's edges are cut out in the row: nothing else of it is exploded or joined.
+    last = F.greatest(size - edge, F.least(F.lit(edge), size))
+    ends = F.concat(F.slice(placed, 1, edge), F.slice(placed, last + 1, F.lit(edge)))
+    sized = arrays.where(size > 0).select(order_key, size.cast("bigint").alias("size"), ends.alias("ends"))
+    starts = prefix_sum(sized.select(order_key, "size"), order_key, "size", "start").drop("size")
+    edges = unnest(sized.select(order_key, "ends").join(starts, order_key), "ends", "x", order_key, "start")
+    edges = edges.select(order_key, (F.col("start") + F.col("x.j")).alias("at"), "x.token")
     run = edges.select(F.col("at"), F.col(order_key).alias("first_doc"), F.col("token").alias("gram"))
     for j in range(1, n):
         step = edges.select((F.col("at") - j).alias("at"), F.col(order_key).alias("last_doc"), F.col("token").alias("next"))
