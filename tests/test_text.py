@@ -185,15 +185,6 @@ def test_scope_and_optional_columns(spark):
     assert browse.browse(df, "T3").count() == 1
 
 
-def test_plain_characters_are_those_that_normalisation_leaves_alone():
-    plain = [chr(i) for i in range(0x3000) if re.fullmatch(f"[{text.PLAIN}]", chr(i))]
-    assert len(plain) > 200
-    assert all(unicodedata.normalize("NFKC", c) == c for c in plain)
-    # Nor do two of them become one.
-    pairs = "".join(a + b for a in plain for b in plain)
-    assert unicodedata.normalize("NFKC", pairs) == pairs
-
-
 def test_any_blank_separates_words(spark):
     df = spark.createDataFrame([("a\u00a0b\u2003c\u3000d e",), ("One.\u00a0Two!\u2003Three",)], "text string")
     got = [tuple(r) for r in df.select(text.word_count(F.col("text")), text.syllable_count(F.col("text")), F.size(text.sentences(F.col("text")))).collect()]
