@@ -6,8 +6,6 @@ import __spark_entry__ as contract
 from compare import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
-# Trains models several times over; exercised by the compare tool and the model tests instead.
-SLOW = {"tuned_classifier_report", "topics_per_sentiment", "model_sentiment"}
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +22,7 @@ def test_agrees_with_sql(spark, con, name):
     assert difference(contract.queries()[name](spark, FOLDER), con, contract.oracle_sql()[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - set(contract.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(contract.queries()) - set(contract.oracle_sql())))
 def test_runs_without_sql(spark, name):
     frame = contract.queries()[name](spark, FOLDER)
     assert len(frame.collect()) > 0 and len(frame.columns) > 0
