@@ -86,11 +86,22 @@ def remove_folders(spark: SparkSession, paths: list[str], reader: DataFrame | No
         if any(path.split("/")[-2] in file for file in read):
             kept.append(path)
             continue
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        system, folder = _file_system(spark, path)
+        system.delete(folder, True)
     return kept
 
 
+def exists_folder(spark: SparkSession, path: str) -> bool:
+    """Is there such a folder, on whatever file system the path names?"""
+    system, folder = _file_system(spark, path)
+    return system.exists(folder)
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
 def fixed_table(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
     """A small table of constants, e.g. `fixed_table(spark, [("the",)], "word string")`."""
     schema = _arrow_schema(columns)
