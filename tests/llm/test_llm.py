@@ -18,6 +18,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from murmuro import runtime
 from murmuro.llm import (
     catalog,
     decontaminate,
@@ -117,6 +118,21 @@ def test_names_inside_an_article_drop_no_text():
     assert [b[3] for b in style_tree.blocks(page)] == ["a", "b", "c", "d", "e"]
 
 
+def test_a_stage_removes_what_the_one_before_wrote(spark, documents, tmp_path):
+    catalog.forget_stage(spark, documents)
+    app = spark.sparkContext.applicationId
+    first = catalog.keep_one_of_each(spark, documents, SF)
+    noted = list(catalog._WRITTEN[app])
+    assert noted and all(runtime.exists_folder(spark, p) for p in noted)
+    # Handed on without being written, a stage keeps the tables it still reads.
+    second = catalog.keep_uncontaminated(spark, first, SF)
+    n = second.count()
+    second.write.parquet(str(tmp_path / "second"))
+    third = catalog.mix_sources(spark, spark.read.parquet(str(tmp_path / "second")), SF)
+    assert third.count() > 0 and 0 < n <= documents.count()
+    assert not any(runtime.exists_folder(spark, p) for p in noted)
+
+
 def test_pieces_keep_every_word(monkeypatch):
     monkeypatch.setattr(words, "PIECE", 10)
     text = "aa bbb\ncccccccccccccccccccccc d e ff " * 5
