@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from murmuro.runtime import written
 
 # Characters of text, at about which a chunk of documents ends. A longer document is a chunk of its own.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 # Distinct stretches that a worker remembers from chunk to chunk; beyond that it starts anew.
 REMEMBERED = 300_000
 # Stretches encoded at a time.
