@@ -13,7 +13,6 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +27,8 @@ from murmuro.runtime import lookup_join, n_rows, scalar, unnest, written
 SHARD, SHARD_TOKENS, BLOCK = 16_384, 4 << 20, 16
 # Blocks scored together; the next lot is larger.
 LOT = 32
+# Entries of term and document that are made into rows at a time.
+ENTRIES = 1 << 18
 
 _TOKEN = re.compile(r"[^ \t\n\x0b\f\r]+")
 _SCHEMA = (
@@ -36,33 +37,68 @@ _SCHEMA = (
 )
 
 
+class _Shard:
+    """Documents on their way into a shard: four bytes a token, every distinct term held once."""
+
+    def __init__(self) -> None:
+        self.doc_ids: list = []
+        self.codes: list[np.ndarray] = []
+        self.numbers: dict[str, int] = {}
+        self.size = 0
+
+    def add(self, doc_id: int | None, tokens: list[str]) -> None:
+        numbers = self.numbers
+        self.doc_ids.append(doc_id)
+        self.codes.append(np.fromiter((numbers.setdefault(t, len(numbers)) for t in tokens), np.int32, len(tokens)))
+        self.size += len(tokens)
+
+    def rows(self, shard: str, entries: int = ENTRIES) -> Iterator[dict[str, list]]:
+        """The rows of the shard, terms in order, so many entries of term and document at a time; the first row (no
+        term) has the documents and their lengths."""
+        names = [c.split()[0] for c in _SCHEMA.split(", ")]
+        lengths = np.fromiter(map(len, self.codes), np.int64, len(self.codes))
+        # Documents of like length lie together, which keeps the bounds of a block near what its documents reach.
+        order = np.argsort(lengths, kind="stable")
+        doc_ids, lengths, n = [self.doc_ids[i] for i in order], lengths[order], max(len(order), 1)
+        # Terms are numbered in their order, so entries lie in the order of rows.
+        terms = sorted(self.numbers)
+        ranks = np.empty(len(terms), np.int64)
+        ranks[np.fromiter(map(self.numbers.__getitem__, terms), np.int64, len(terms))] = np.arange(len(terms))
+        pairs = np.concatenate([np.empty(0, np.int64), *(ranks[self.codes[i]] * n + place for place, i in enumerate(order))])
+        self.codes, self.numbers = [], {}
+        pairs.sort()
+        first = np.flatnonzero(np.diff(pairs, prepend=-1))
+        counts = np.diff(first, append=len(pairs)).astype(np.int32)
+        pairs = pairs[first]
+        starts = np.searchsorted(pairs, np.arange(len(terms) + 1) * n)
+        yield {c: [x] for c, x in zip(names, (shard, None, len(doc_ids), None, None, None, None, None, doc_ids, lengths), strict=True)}
+        at = 0
+        while at < len(terms):
+            end = max(at + 1, int(np.searchsorted(starts, starts[at] + entries, side="right")) - 1)
+            part = slice(starts[at], starts[end])
+            term, place, own = pairs[part] // n, (pairs[part] % n).astype(np.int32), counts[part]
+            # A run is one term in one block.
+            run = np.flatnonzero(np.diff(term, prepend=-1) | np.diff(place // BLOCK, prepend=-1))
+            most, shortest = np.maximum.reduceat(own, run), np.minimum.reduceat(lengths[place], run)
+            cuts = starts[at : end + 1] - starts[at]
+            runs = np.searchsorted(run, cuts)
+            out: dict[str, list] = {c: [] for c in names}
+            for i in range(end - at):
+                a, b, s, e = cuts[i], cuts[i + 1], runs[i], runs[i + 1]
+                row = (shard, terms[at + i], b - a, place[a:b], own[a:b], place[run[s:e]] // BLOCK, most[s:e], shortest[s:e], None, None)
+                for column, value in zip(out.values(), row, strict=True):
+                    column.append(value)
+            yield out
+            at = end
+
+
 def shard_rows(shard: str, doc_ids: list, tokens: list[list[str]]) -> dict[str, list]:
-    """The rows of one shard, terms in order; the first row (no term) has the documents and their lengths."""
-    # Documents of like length lie together, which keeps the bounds of a block near what its documents reach.
-    order = sorted(range(len(tokens)), key=lambda i: len(tokens[i]))
-    doc_ids, tokens = [doc_ids[i] for i in order], [tokens[i] for i in order]
-    lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
-    numbers: dict[str, int] = {}
-    codes = np.fromiter((numbers.setdefault(t, len(numbers)) for t in chain.from_iterable(tokens)), np.int64, lengths.sum())
-    owner = np.repeat(np.arange(len(tokens)), lengths)
-    pairs, counts = np.unique(codes * len(tokens) + owner, return_counts=True)
-    term, place = pairs // max(len(tokens), 1), pairs % max(len(tokens), 1)
-    # A run is one term in one block.
-    run = np.flatnonzero(np.diff(term, prepend=-1) | np.diff(place // BLOCK, prepend=-1))
-    most = np.maximum.reduceat(counts, run) if len(run) else run
-    shortest = np.minimum.reduceat(lengths[place], run) if len(run) else run
-    starts = np.searchsorted(term, np.arange(len(numbers) + 1))
-    runs = np.searchsorted(run, starts)
-    out: dict[str, list] = {c.split()[0]: [] for c in _SCHEMA.split(", ")}
-    rows = [(shard, None, len(tokens), None, None, None, None, None, doc_ids, lengths)]
-    for name in sorted(numbers):
-        a, b = starts[numbers[name]], starts[numbers[name] + 1]
-        s, e = runs[numbers[name]], runs[numbers[name] + 1]
-        rows.append((shard, name, b - a, place[a:b], counts[a:b], place[run[s:e]] // BLOCK, most[s:e], shortest[s:e], None, None))
-    for row in rows:
-        for column, value in zip(out.values(), row, strict=True):
-            column.append(value)
-    return out
+    """All rows of one shard at once."""
+    held = _Shard()
+    for doc_id, words in zip(doc_ids, tokens, strict=True):
+        held.add(doc_id, words)
+    parts = list(held.rows(shard))
+    return {c: [x for part in parts for x in part[c]] for c in parts[0]}
 
 
 class TermIndex:
@@ -95,22 +131,20 @@ class TermIndex:
             from pyspark import TaskContext
 
             task, number = TaskContext.get().partitionId(), 0
-            doc_ids, tokens, size = [], [], 0
+            shard = _Shard()
 
-            def shard() -> pa.RecordBatch:
-                columns = shard_rows(f"{load}-{task}-{number}", doc_ids, tokens)
-                return pa.RecordBatch.from_arrays([pa.array(columns[n], t) for n, t in zip(names, types, strict=True)], names)
+            def rows() -> Iterator[pa.RecordBatch]:
+                for columns in shard.rows(f"{load}-{task}-{number}"):
+                    yield pa.RecordBatch.from_arrays([pa.array(columns[n], t) for n, t in zip(names, types, strict=True)], names)
 
             for batch in batches:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    doc_ids.append(doc_id)
-                    tokens.append(_TOKEN.findall(text or ""))
-                    size += len(tokens[-1])
-                    if len(doc_ids) >= SHARD or size >= SHARD_TOKENS:
-                        yield shard()
-                        number, doc_ids, tokens, size = number + 1, [], [], 0
-            if doc_ids:
-                yield shard()
+                for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
+                    shard.add(doc_id.as_py(), _TOKEN.findall(text.as_py() or ""))
+                    if len(shard.doc_ids) >= SHARD or shard.size >= SHARD_TOKENS:
+                        yield from rows()
+                        number, shard = number + 1, _Shard()
+            if shard.doc_ids:
+                yield from rows()
 
         rows = docs.select(F.col(order_key).cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
         rows.mapInArrow(run, _SCHEMA).write.mode(mode).parquet(self.path)

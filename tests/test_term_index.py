@@ -88,3 +88,45 @@ def test_blocks_and_lots_do_not_change_results(monkeypatch, texts, block, lot):
             score[i] = round(sum(weight[t] * words.count(t) * 2.5 / (words.count(t) + damped) for t in hit), 6)
     want = sorted(score, key=lambda i: (-score[i], i))[:9]
     assert best[1][0].tolist() == want and np.allclose(best[1][1], [score[i] for i in want], atol=2e-6)
+
+
+def test_a_shard_holds_a_few_bytes_per_token():
+    """Tokens are numbers as soon as they are read, and rows are made a part at a time."""
+    import tracemalloc
+
+    made = [t.split() for t in random_texts(400, 5)]
+    tracemalloc.start()
+    held, n, rows_made = term_index._Shard(), 0, 0
+    for i in range(12_000):
+        # New string objects, as from a text.
+        tokens = " ".join(made[i % 400]).split()
+        held.add(i, tokens)
+        n += len(tokens)
+    for part in held.rows("s", entries=5_000):
+        rows_made += len(part["term"])
+        assert part["term"] == [None] or len(part["n"]) == 1 or sum(part["n"]) <= 5_000
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows_made == 1 + len({t for m in made for t in m}) and peak < 50 * n
+
+
+@pytest.mark.parametrize("entries", [1, 7, 1 << 18])
+def test_parts_of_a_shard_are_the_whole_shard(texts, entries):
+    held = term_index._Shard()
+    for i, t in enumerate(texts[:60]):
+        held.add(i, (t or "").split())
+    found = {}
+    docs = None
+    for part in held.rows("s", entries):
+        for i, term in enumerate(part["term"]):
+            if term is None:
+                docs = part["doc_ids"][i]
+            else:
+                assert term not in found
+                found[term] = {docs[p]: c for p, c in zip(part["places"][i].tolist(), part["counts"][i].tolist(), strict=True)}
+    want = {}
+    for i, t in enumerate(texts[:60]):
+        for w in (t or "").split():
+            want.setdefault(w, {}).setdefault(i, 0)
+            want[w][i] += 1
+    assert found == want and list(found) == sorted(found)
