@@ -27,6 +27,8 @@ WORDS, SIMILARITY = 5, 0.8
 RECALL, MOST_HASHES = 0.9999, 96
 # Classes of a bucket or group that are compared with each other in one task (two blocks at most).
 BLOCK = 512
+# Edges that a task of a connecting step has, about, and shuffle partitions that one task takes at most.
+TASK_EDGES, MERGED = 50_000, 16
 # n-grams of a block that are multiplied at a time.
 COLUMNS = 4_096
 
@@ -201,23 +203,31 @@ def components(edges: DataFrame) -> DataFrame:
     found before the shuffle.
     """
     edges = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    while not _stars(edges):
+    # No step makes more edges than there are; few of them need few tasks, however many partitions a shuffle has.
+    partitions = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(-(-edges.count() // TASK_EDGES), -(-partitions // MERGED))
+
+    def kept(df: DataFrame, label: str) -> DataFrame:
+        return written(df.coalesce(tasks), label)
+
+    while not _stars(edges, tasks):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
+        least = kept(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = written(large.where("a != b").distinct(), "large")
-        least = written(large.groupBy("a").agg(F.min("b").alias("m")), "least")
+        large = kept(large.where("a != b").distinct(), "large")
+        least = kept(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
-        edges = written(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        edges = kept(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
     roots = edges.select(F.col("b").alias("id")).distinct().select("id", F.col("id").alias("root"))
-    return written(edges.select(F.col("a").alias("id"), F.col("b").alias("root")).unionByName(roots), "roots")
+    return kept(edges.select(F.col("a").alias("id"), F.col("b").alias("root")).unionByName(roots), "roots")
 
 
-def _stars(edges: DataFrame) -> bool:
+def _stars(edges: DataFrame, tasks: int) -> bool:
     """Has every node one edge at most, to a node without one?"""
-    tops = edges.select(F.col("b").alias("id"), F.lit(1).alias("top"), F.lit(0).alias("n")).distinct()
+    tops = edges.select(F.col("b").alias("id"), F.lit(1).alias("top"), F.lit(0).alias("n"))
     nodes = edges.select(F.col("a").alias("id"), F.lit(0).alias("top"), F.lit(1).alias("n")).unionByName(tops)
-    return nodes.groupBy("id").agg(F.sum("n").alias("n"), F.max("top").alias("top")).where("n > 1 OR n = 1 AND top = 1").isEmpty()
+    nodes = nodes.groupBy("id").agg(F.sum("n").alias("n"), F.max("top").alias("top"))
+    return nodes.where("n > 1 OR n = 1 AND top = 1").coalesce(tasks).isEmpty()
 
 
 def compare_sets(sets: list[np.ndarray], similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
