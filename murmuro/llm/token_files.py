@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from murmuro.llm.words import text_or_empty
+from murmuro.llm.words import remembering, text_or_empty
 from murmuro.runtime import shared_folder
 
 ROW_GROUP_BYTES = 32 << 20
@@ -191,7 +191,12 @@ def _with_end(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> tuple[np.ndarr
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
+def _forget_encoders() -> None:
+    _ENCODERS.clear()
+
+
 def _encoder(path: str) -> WordEncoder:
+    remembering(_forget_encoders)
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
     return _ENCODERS[path]

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from murmuro.llm.words import WORD, free_name, pieces, text_or_empty
+from murmuro.llm.words import WORD, free_name, pieces, remembering, text_or_empty
 from murmuro.runtime import written
 
 # Hashed features: words and the first letters of longer ones, so that one weight stands for a stem's endings.
@@ -29,7 +29,7 @@ SAMPLE, SAMPLE_FEATURES = 8_000, 12_000_000
 THRESHOLD, LEAST_POSITIVE = 0.5, 5
 STEPS, REGULARISATION = 60, 1e-6
 # Words whose features a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 # The chain over the label columns at hand: general quality first, then toxicity, then toxicity in good text.
 CATEGORIES = (("low_quality", "quality = 0"), ("toxic", "toxic = 1"), ("toxic_prose", "toxic = 1 AND quality = 1"))
@@ -63,11 +63,16 @@ class _Places(dict):
 _PLACES = _Places()
 
 
+def _forget_places() -> None:
+    global _PLACES
+    _PLACES = _Places()
+
+
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(numbers, values) of a text's features: counts scaled to length 1, numbers rising and distinct."""
-    global _PLACES
+    remembering(_forget_places)
     if len(_PLACES) > REMEMBERED:
-        _PLACES = _Places()
+        _forget_places()
     rows = []
     for piece in pieces(text.lower()):
         words = WORD.findall(piece)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import xxhash
@@ -56,6 +56,22 @@ def pieces(text: str) -> Iterator[str]:
     yield text[start:]
 
 
+# Empties what the operator at work remembers.
+_FORGET: Callable[[], None] | None = None
+
+
+def remembering(forget: Callable[[], None]) -> None:
+    """A worker, which serves one stage after the other, remembers the words of one operator at a time.
+
+    An operator says by `forget` how its own are emptied; those of the operator before it go.
+    """
+    global _FORGET
+    if forget is not _FORGET:
+        if _FORGET:
+            _FORGET()
+        _FORGET = forget
+
+
 class _Hashes(dict):
     """Word to its 64-bit hash."""
 
@@ -69,8 +85,13 @@ class _Hashes(dict):
 _HASHES = _Hashes()
 
 
+def _forget_hashes() -> None:
+    _HASHES.clear()
+
+
 def word_hashes(text: str) -> np.ndarray:
     """64-bit hashes of the lower-cased words of a text, in order."""
+    remembering(_forget_hashes)
     parts = []
     for piece in pieces(text.lower()):
         words = WORD.findall(piece)
