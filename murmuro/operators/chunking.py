@@ -128,8 +128,7 @@ def semantic_vector_chunks(df: DataFrame, model: CorpusVectors, percent: int = f
 def sentence_distances(sentences: list[str], model: CorpusVectors) -> np.ndarray:
     """One minus the cosine of every sentence's vector and the next one's."""
     out, before = np.ones(max(len(sentences) - 1, 0)), None
-    for i, sentence in enumerate(sentences):
-        here = model.of(sentence)
+    for i, here in enumerate(model.of_each(sentences)):
         if i and here is not None and before is not None:
             out[i - 1] = round(1 - float(before @ here), 6)
         before = here
