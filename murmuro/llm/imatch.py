@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmuro.llm.words import WORD, _HASHES, mixed, pieces, text_or_empty
+from murmuro.llm.words import WORD, mixed, pieces, text_or_empty, word_hash
 from murmuro.operators.order import bucketed
 from murmuro.runtime import written
 
@@ -81,7 +81,7 @@ def fingerprint(kept: set[str], words: dict[str, int]) -> str:
     `words`: the lexicon with the terms' hashes. A text without a lexicon term uses all its terms, and one
     without any term has the fingerprint `empty`.
     """
-    found = [words[t] for t in kept if t in words] or [_HASHES[t] for t in kept]
+    found = [words[t] for t in kept if t in words] or [word_hash(t) for t in kept]
     if not found:
         return "empty"
     ids = np.unique(np.asarray(found, np.uint64))  # sorted and distinct
@@ -183,7 +183,7 @@ FIELDS = (
 
 
 def _hash(term: str) -> int:
-    return _HASHES[term]
+    return word_hash(term)
 
 
 def _row(doc_id, text: str, mark: str, next_text: str, next_mark: str, known: dict[str, int]) -> tuple:

@@ -89,6 +89,12 @@ def _forget_hashes() -> None:
     _HASHES.clear()
 
 
+def word_hash(word: str) -> int:
+    """64-bit hash of one word."""
+    remembering(_forget_hashes)
+    return _HASHES[word]
+
+
 def word_hashes(text: str) -> np.ndarray:
     """64-bit hashes of the lower-cased words of a text, in order."""
     remembering(_forget_hashes)
